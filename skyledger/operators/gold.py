@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skyledger import schemas
+from skyledger.functions.numbers import round_total
 from skyledger.functions.rules import STANDARD, RuleSet
 
 SCORE = "weather_severity_score"
@@ -36,12 +37,12 @@ def _summary(silver: DataFrame, keys: tuple[str, ...], rules: RuleSet) -> DataFr
     # Partial aggregation runs before the exchange, so a city that holds a large
     # share of all days sends one row per group and map task, not its days.
     return silver.groupBy(*keys).agg(
-        F.round(F.avg("mean_temp_c"), 2).alias("avg_mean_temp_c"),
+        round_total(F.avg("mean_temp_c")).alias("avg_mean_temp_c"),
         F.max("max_temp_c").alias("max_temp_c"),
         F.min("min_temp_c").alias("min_temp_c"),
-        F.round(F.sum("precipitation_mm"), 2).alias("total_precipitation_mm"),
+        round_total(F.sum("precipitation_mm")).alias("total_precipitation_mm"),
         *_day_counts(rules),
-        F.round(F.avg("max_wind_speed_kmh"), 2).alias("avg_wind_speed_kmh"),
+        round_total(F.avg("max_wind_speed_kmh")).alias("avg_wind_speed_kmh"),
     )
 
 

@@ -12,6 +12,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from skyledger.functions.numbers import round_total
 from skyledger.functions.rules import STANDARD, RuleSet
 from skyledger.operators.gold import SCORE, _day_counts
 
@@ -45,7 +46,7 @@ def silver_by_city(silver: DataFrame, rules: RuleSet = STANDARD) -> DataFrame:
 def daily_by_city(daily: DataFrame) -> DataFrame:
     return (
         daily.groupBy("city")
-        .agg(*_span(), F.round(F.avg(SCORE), 2).alias("avg_severity"))
+        .agg(*_span(), round_total(F.avg(SCORE)).alias("avg_severity"))
         .orderBy("city")
     )
 
@@ -56,8 +57,8 @@ def monthly_by_year(monthly: DataFrame) -> DataFrame:
         monthly.groupBy("city", "year")
         .agg(
             F.count(F.lit(1)).alias("num_months"),
-            F.round(F.avg("avg_mean_temp_c"), 2).alias("year_avg_temp"),
-            F.round(F.sum("total_precipitation_mm"), 2).alias("year_total_precip"),
+            round_total(F.avg("avg_mean_temp_c")).alias("year_avg_temp"),
+            round_total(F.sum("total_precipitation_mm")).alias("year_total_precip"),
         )
         .orderBy("city", "year")
     )

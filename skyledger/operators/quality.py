@@ -49,10 +49,10 @@ def _keyed(df: DataFrame, key: Iterable[str]) -> dict:
     """Rows and repeated keys, from one aggregation by key."""
     return (
         df.groupBy(*key)
-        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(F.count(F.lit(1)).alias("_copies"))
         .agg(
-            F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
-            F.count_if(F.col("n") > 1).alias("repeated"),
+            F.coalesce(F.sum("_copies"), F.lit(0)).alias("rows"),
+            F.count_if(F.col("_copies") > 1).alias("repeated"),
         )
         .first()
         .asDict()

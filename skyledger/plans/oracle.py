@@ -2,10 +2,16 @@
 
 Written independently of the Spark code: one CTE chain for the layers, one
 SELECT per query. Casts give DuckDB's results Spark's types.
+
+``half_up(x)`` stands for rounding to two places the way Spark defines it for
+doubles: half up on the decimal text (16.775 -> 16.78). DuckDB's own ``round``
+works on the binary value (16.775 -> 16.77), so the text is rounded as a decimal.
 """
 
 from __future__ import annotations
 
+import re
+
 from skyledger.plans.registry import CITY, FROM, TO, YEAR
 
 _LAYERS = """
@@ -36,7 +42,7 @@ WITH raw AS (
          temperature_2m_max AS max_temp_c,
          temperature_2m_min AS min_temp_c,
          temperature_2m_mean AS mean_temp_c,
-         round(temperature_2m_max - temperature_2m_min, 2) AS temperature_range_c,
+         half_up(temperature_2m_max - temperature_2m_min) AS temperature_range_c,
          precipitation_sum AS precipitation_mm,
          rain_sum AS rain_mm,
          snowfall_sum AS snowfall_cm,
@@ -62,14 +68,14 @@ WITH raw AS (
   FROM scored
 ), monthly AS (
   SELECT city, year, month,
-         round(avg(mean_temp_c), 2) AS avg_mean_temp_c,
+         half_up(avg(mean_temp_c)) AS avg_mean_temp_c,
          max(max_temp_c) AS max_temp_c,
          min(min_temp_c) AS min_temp_c,
-         round(sum(precipitation_mm), 2) AS total_precipitation_mm,
+         half_up(sum(precipitation_mm)) AS total_precipitation_mm,
          CAST(sum(CASE WHEN is_rainy_day THEN 1 ELSE 0 END) AS BIGINT) AS rainy_days,
          CAST(sum(CASE WHEN is_hot_day THEN 1 ELSE 0 END) AS BIGINT) AS hot_days,
          CAST(sum(CASE WHEN is_freezing_day THEN 1 ELSE 0 END) AS BIGINT) AS freezing_days,
-         round(avg(max_wind_speed_kmh), 2) AS avg_wind_speed_kmh
+         half_up(avg(max_wind_speed_kmh)) AS avg_wind_speed_kmh
   FROM silver GROUP BY city, year, month
 ), risk AS (
   SELECT city, weather_date, 'HOT_DAY' AS risk_type,
@@ -96,7 +102,9 @@ WITH raw AS (
 
 
 def _over_layers(select: str, rain=1.0, hot=30.0, cold=0.0, wind=40.0) -> str:
-    return _LAYERS.format(rain=rain, hot=hot, cold=cold, wind=wind) + select
+    sql = _LAYERS.format(rain=rain, hot=hot, cold=cold, wind=wind) + select
+    as_decimal = r"CAST(round(CAST(\1 AS DECIMAL(38, 10)), 2) AS DOUBLE) AS"
+    return re.sub(r"half_up\((.+?)\) AS", as_decimal, sql)
 
 
 _RAW = "SELECT * FROM raw"
@@ -271,13 +279,13 @@ ORACLE: dict[str, str] = {
     "profile_silver_city": _over_layers(_SILVER_PROFILE.format(more="")),
     "profile_daily_city": _over_layers(
         """SELECT city, count(*) AS row_count, min(weather_date) AS min_date,
-        max(weather_date) AS max_date, round(avg(weather_severity_score), 2) AS avg_severity
+        max(weather_date) AS max_date, half_up(avg(weather_severity_score)) AS avg_severity
         FROM daily GROUP BY city ORDER BY city"""
     ),
     "yearly_rollup": _over_layers(
         """SELECT city, year, count(*) AS num_months,
-        round(avg(avg_mean_temp_c), 2) AS year_avg_temp,
-        round(sum(total_precipitation_mm), 2) AS year_total_precip
+        half_up(avg(avg_mean_temp_c)) AS year_avg_temp,
+        half_up(sum(total_precipitation_mm)) AS year_total_precip
         FROM monthly GROUP BY city, year ORDER BY city, year"""
     ),
     "risk_by_type": _over_layers(
@@ -360,13 +368,13 @@ ORACLE: dict[str, str] = {
     ),
     "risk_created": _over_layers("SELECT *, true AS created_at FROM risk"),
     "yearly_summary": _over_layers(
-        """SELECT city, year, round(avg(mean_temp_c), 2) AS avg_mean_temp_c,
+        """SELECT city, year, half_up(avg(mean_temp_c)) AS avg_mean_temp_c,
         max(max_temp_c) AS max_temp_c, min(min_temp_c) AS min_temp_c,
-        round(sum(precipitation_mm), 2) AS total_precipitation_mm,
+        half_up(sum(precipitation_mm)) AS total_precipitation_mm,
         CAST(sum(CASE WHEN is_rainy_day THEN 1 ELSE 0 END) AS BIGINT) AS rainy_days,
         CAST(sum(CASE WHEN is_hot_day THEN 1 ELSE 0 END) AS BIGINT) AS hot_days,
         CAST(sum(CASE WHEN is_freezing_day THEN 1 ELSE 0 END) AS BIGINT) AS freezing_days,
-        round(avg(max_wind_speed_kmh), 2) AS avg_wind_speed_kmh
+        half_up(avg(max_wind_speed_kmh)) AS avg_wind_speed_kmh
         FROM silver GROUP BY city, year"""
     ),
     "monthly_lookup": _over_layers(

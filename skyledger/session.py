@@ -10,18 +10,17 @@ from pyspark.sql import SparkSession
 _local_scratch: tempfile.TemporaryDirectory | None = None
 
 
-def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
+def local_session(cores: int | str = "*", **settings: str) -> SparkSession:
     """Session for tests and the bench. A cluster brings its own settings."""
-    spark = (
-        SparkSession.builder.master(f"local[{cores}]")
-        .appName("skyledger")
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.driver.memory", "12g")
-        .config("spark.ui.enabled", "false")
-        .config("spark.ui.showConsoleProgress", "false")
-        .getOrCreate()
-    )
+    defaults = {
+        "spark.sql.shuffle.partitions": "8",
+        "spark.sql.session.timeZone": "UTC",
+        "spark.driver.memory": "12g",
+        "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
+    }
+    builder = SparkSession.builder.master(f"local[{cores}]").appName("skyledger")
+    spark = builder.config(map={**defaults, **settings}).getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 

@@ -1,0 +1,108 @@
+import pytest
+from pyspark.sql import functions as F
+
+from skyledger import schemas
+from skyledger.operators import quality
+from skyledger.operators.gold import to_daily, to_monthly, to_risk
+
+S, D, M, R = schemas.SILVER_NAME, schemas.DAILY_NAME, schemas.MONTHLY_NAME, schemas.RISK_NAME
+
+
+@pytest.fixture
+def frames(silver):
+    silver = silver.cache()
+    yield {S: silver, D: to_daily(silver), M: to_monthly(silver), R: to_risk(silver)}
+    silver.unpersist()
+
+
+def failed(frames, **options):
+    results = quality.run_checks(frames.__getitem__, **options)
+    assert [r.check_id for r in results] == list(range(1, len(results) + 1))
+    return {r.check_id: r.detail for r in results if not r.passed}
+
+
+def test_all_pass(spark, frames):
+    results = quality.run_checks(frames.__getitem__)
+    verdict = quality.judge(results)
+    assert verdict.dq_passed and verdict.summary() == "10/10 checks passed"
+    assert quality.results_frame(spark, results).count() == 10
+    assert tuple(quality.verdict_frame(spark, verdict).first()) == (True, 10, 10)
+    quality.require_passed(verdict)
+
+
+MUTATIONS = {
+    "silver empty": (S, lambda df: df.limit(0), {1: "0 rows"}),
+    "null date": (
+        S,
+        lambda df: df.withColumn("weather_date", F.when(F.col("month") == 2, F.col("weather_date"))),
+        {2: "5 rows without weather_date"},
+    ),
+    "daily column renamed": (
+        D,
+        lambda df: df.withColumnRenamed("rain_mm", "rain"),
+        {3: f"{D} breaks its contract (missing: rain_mm; unexpected: rain)"},
+    ),
+    "daily empty": (D, lambda df: df.limit(0), {4: "0 rows"}),
+    "daily repeated": (
+        D,
+        lambda df: df.unionByName(df.filter("city = 'Austin'")),
+        {5: "5 repeated keys"},
+    ),
+    "monthly retyped": (
+        M,
+        lambda df: df.withColumn("year", F.col("year").cast("string")),
+        {6: f"{M} breaks its contract (retyped: year is string, not int)"},
+    ),
+    "monthly empty": (M, lambda df: df.limit(0), {7: "0 rows"}),
+    "risk column lost": (
+        R,
+        lambda df: df.drop("description"),
+        {8: f"{R} breaks its contract (missing: description)"},
+    ),
+    "risk repeated": (
+        R,
+        lambda df: df.unionByName(df.filter("risk_level = 'HIGH'")),
+        {10: "4 repeated keys"},
+    ),
+}
+
+
+@pytest.mark.parametrize("case", MUTATIONS)
+def test_one_mutation_fails_one_check(frames, case):
+    name, mutate, expected = MUTATIONS[case]
+    assert failed({**frames, name: mutate(frames[name])}) == expected
+
+
+def test_empty_risk_table_passes(frames):
+    assert failed({**frames, R: frames[R].limit(0)}) == {}
+
+
+def test_missing_tables_fail_their_checks_only(frames):
+    del frames[R]
+    assert set(failed(frames)) == {8, 9, 10}
+    del frames[S]
+    assert set(failed(frames)) == {1, 2, 8, 9, 10}
+
+
+def test_unreadable_risk_table_fails(frames):
+    unreadable = frames[R].filter(F.raise_error(F.lit("gone")).cast("boolean"))
+    assert set(failed({**frames, R: unreadable})) == {9, 10}
+
+
+def test_missing_key_column_still_counts_rows(frames):
+    without_city = frames[D].drop("city")
+    found = failed({**frames, D: without_city})
+    assert set(found) == {3, 5} and "missing: city" in found[3]
+
+
+def test_optional_severity_check(frames):
+    assert failed(frames, severity_check=True) == {}
+    negative = frames[D].withColumn("weather_severity_score", F.lit(-1))
+    assert failed({**frames, D: negative}, severity_check=True) == {11: "6 negative scores"}
+
+
+def test_verdict_names_every_failure(frames):
+    verdict = quality.judge(quality.run_checks({}.__getitem__))
+    assert not verdict.dq_passed and len(verdict.failures) == 10
+    with pytest.raises(RuntimeError, match="0/10 checks passed"):
+        quality.require_passed(verdict)
