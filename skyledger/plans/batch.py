@@ -7,17 +7,32 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from skyledger import schemas
+from skyledger.contracts import require_columns, require_no_missing
 from skyledger.functions.rules import STANDARD, RuleSet
 from skyledger.operators import quality
 from skyledger.operators.gold import to_daily, to_monthly, to_risk
 from skyledger.operators.layers import to_bronze, to_silver
+from skyledger.operators.profiles import raw_by_city
 from skyledger.sinks.publish import publish
 from skyledger.sinks.tables import Warehouse, ensure_layers, overwrite_table, write_layer
+from skyledger.sources.csv import read_raw, write_raw
+from skyledger.sources.payloads import flatten
 
 RESULTS_NAME = "dq_results"
 VERDICT_NAME = "dq_verdict"
 
 
+def export_raw(documents: DataFrame, cities: DataFrame, path: str) -> DataFrame:
+    """JSON payloads -> raw CSV files; returns the profile per city.
+
+    Nothing is written unless every raw column is there and holds no missing
+    value.
+    """
+    raw = require_columns(flatten(documents, cities), schemas.RAW.names)
+    write_raw(require_no_missing(raw, schemas.RAW.names), path)
+    return raw_by_city(read_raw(documents.sparkSession, path))
+
+
 def build_layers(
     raw: DataFrame, wh: Warehouse, on_bad_date: str = "fail", rules: RuleSet = STANDARD
 ) -> dict[str, DataFrame]:

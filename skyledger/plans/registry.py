@@ -170,10 +170,12 @@ def daily_range_meta(spark, sf_dir):
 
 def data_dictionary(spark, sf_dir):
     """The dictionary, with the rows and missing values each column really has."""
-    silver = _silver(spark, sf_dir)
+    raw = _stored(_raw(spark, sf_dir), "raw")
+    bronze = to_bronze(raw)
+    silver = to_silver(bronze)
     frames = {
-        schemas.RAW_NAME: _raw(spark, sf_dir),
-        schemas.BRONZE_NAME: _bronze(spark, sf_dir),
+        schemas.RAW_NAME: raw,
+        schemas.BRONZE_NAME: bronze,
         schemas.SILVER_NAME: silver,
         schemas.DAILY_NAME: to_daily(silver),
         schemas.MONTHLY_NAME: to_monthly(silver),

@@ -12,10 +12,18 @@ from pyspark.sql import functions as F
 from skyledger import schemas
 
 
+# The columns read, so that no file is opened only to infer a schema.
+SUPPLIER = "s_suppkey BIGINT, s_name STRING"
+LINEITEM = (
+    "l_suppkey BIGINT, l_linenumber INT, l_quantity DOUBLE, l_discount DOUBLE, "
+    "l_tax DOUBLE, l_shipdate TIMESTAMP_NTZ"
+)
+
+
 def stations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """City dimension: a name and coordinates per supplier."""
     key = F.col("s_suppkey").cast("double")
-    return spark.read.parquet(f"{sf_dir}/supplier.parquet").select(
+    return spark.read.schema(SUPPLIER).parquet(f"{sf_dir}/supplier.parquet").select(
         "s_suppkey",
         F.col("s_name").alias("city"),
         key.alias("latitude"),
@@ -32,8 +40,15 @@ def raw_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     station side is broadcast is left to its size.
     """
     q_max, q_min = F.col("q_max"), F.col("q_min")
+    # Written so that the optimizer can tell the text is null only where the date
+    # is: a later "time is not null" then reaches the scan as a test of the date,
+    # instead of formatting the date of every input row.
+    day = F.col("l_shipdate")
+    text = F.coalesce(day.cast("date").cast("string"), F.lit(""))
+    time = F.when(day.isNotNull(), text).otherwise(None)
     days = (
-        spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+        spark.read.schema(LINEITEM)
+        .parquet(f"{sf_dir}/lineitem.parquet")
         .groupBy("l_suppkey", "l_shipdate")
         .agg(
             F.max("l_quantity").alias("q_max"),
@@ -44,7 +59,7 @@ def raw_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
     )
     return days.join(stations(spark, sf_dir), F.col("l_suppkey") == F.col("s_suppkey")).select(
-        F.col("l_shipdate").cast("date").cast("string").alias("time"),
+        time.alias("time"),
         (q_max - 5.0).alias("temperature_2m_max"),
         (q_min - 12.0).alias("temperature_2m_min"),
         ((q_max + q_min) / 2.0 - 8.5).alias("temperature_2m_mean"),

@@ -1,9 +1,13 @@
+from pathlib import Path
+
 import pytest
 
 from skyledger import schemas
 from skyledger.plans import batch
 from skyledger.sinks import tables
 from skyledger.sources import payloads
+from skyledger.sources.csv import read_raw
+from skyledger.sources.shipments import as_documents
 
 SERVED = schemas.SERVING[schemas.DAILY_NAME][0]
 
@@ -49,3 +53,24 @@ def test_bad_dates_can_reach_the_checks(spark, raw, wh):
     spoiled = raw.replace({"2024-02-29": "2024-02-30"}, subset="time")
     with pytest.raises(RuntimeError, match="1 rows without weather_date"):
         batch.run(spoiled, wh, on_bad_date="null")
+
+
+CITIES = [("Austin", 30.2672, -97.7431), ("New York", 40.7128, -74.006)]
+
+
+def test_payloads_become_csv_files(spark, raw, rows, tmp_path):
+    path = str(tmp_path / "raw")
+    whole = raw.na.drop()
+    profile = batch.export_raw(
+        as_documents(whole), payloads.city_dimension(spark, CITIES), path
+    )
+    assert [(r.city, r.rows) for r in profile.collect()] == [("Austin", 4), ("New York", 1)]
+    assert rows(read_raw(spark, path)) == rows(whole)
+
+
+def test_payloads_with_missing_values_are_not_written(spark, raw, tmp_path):
+    path = tmp_path / "raw"
+    documents = as_documents(raw.filter("city IS NOT NULL AND time IS NOT NULL"))
+    with pytest.raises(ValueError, match="temperature_2m_max=1"):
+        batch.export_raw(documents, payloads.city_dimension(spark, CITIES), str(path))
+    assert not Path(path).exists()
