@@ -16,6 +16,9 @@ from skyledger import schemas
 from skyledger.contracts import require_contract
 from skyledger.operators.gold import SCORE
 
+# Tables whose key the checks cover.
+KEYED = (schemas.DAILY_NAME, schemas.RISK_NAME)
+
 RESULT_SCHEMA = "check_id INT, dataset STRING, rule STRING, passed BOOLEAN, detail STRING"
 
 

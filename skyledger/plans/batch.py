@@ -72,7 +72,7 @@ def publish_if_passed(
     """Publish only behind a stored passing verdict; says whether it did."""
     passed = spark.table(wh.name(VERDICT_NAME)).first().dq_passed
     if passed:
-        publish(spark, wh, tables)
+        publish(spark, wh, tables, checked=quality.KEYED)
     return passed
 
 

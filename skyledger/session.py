@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import SparkSession
 
 _local_scratch: tempfile.TemporaryDirectory | None = None
+_scratch_paths: list[str] = []
 
 
 def local_session(cores: int | str = "*", **settings: str) -> SparkSession:
@@ -39,4 +40,17 @@ def scratch_path(spark: SparkSession, label: str) -> str:
         if _local_scratch is None:
             _local_scratch = tempfile.TemporaryDirectory(prefix="skyledger-")
         root = _local_scratch.name
-    return f"{root.rstrip('/')}/skyledger/{label}-{uuid.uuid4().hex}"
+    path = f"{root.rstrip('/')}/skyledger/{label}-{uuid.uuid4().hex}"
+    _scratch_paths.append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete the scratch paths this process was given.
+
+    Frames that read them are lazy, so only their user knows when that is safe.
+    """
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    while _scratch_paths:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_scratch_paths.pop())
+        path.getFileSystem(hadoop).delete(path, True)
