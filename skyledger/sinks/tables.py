@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,12 +19,13 @@ class Warehouse:
 
     ``location`` is the folder of a namespace created here; without it the
     catalog's own warehouse folder is used. ``provider`` is any table format the
-    session has (``delta`` makes every overwrite atomic).
+    session has. ``keep`` versions of a table stay, for queries still running.
     """
 
     namespace: str = "default"
     location: str | None = None
     provider: str = "parquet"
+    keep: int = 2
 
     def name(self, table: str) -> str:
         return f"{self.namespace}.{table}"
@@ -37,13 +40,45 @@ def table_exists(spark: SparkSession, name: str) -> bool:
     return spark.catalog.tableExists(name)
 
 
+def swap_in(df: DataFrame, wh: Warehouse, table: str, parts: Sequence[str] = ()) -> DataFrame:
+    """Store ``df`` as a new version of ``table``, then switch readers to it.
+
+    ``table`` is a view on its latest version. Plain file tables are dropped
+    before they are overwritten, so a job that fails would take the old rows with
+    it; here readers have the old version until the new one is whole. Returns the
+    table as stored: later steps neither recompute ``df`` nor depend on the
+    executors that did.
+    """
+    spark, name = df.sparkSession, wh.name(table)
+    version = f"{table}__v{time.time_ns()}"
+    df.write.format(wh.provider).partitionBy(*parts).saveAsTable(wh.name(version))
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM {wh.name(version)}")
+    versions = sorted(
+        t.name
+        for t in spark.catalog.listTables(wh.namespace, f"{table}__v*")
+        if not t.isTemporary
+    )
+    for old in versions[: -wh.keep]:
+        spark.sql(f"DROP TABLE {wh.name(old)}")
+    return spark.table(name)
+
+
+def overwrite_table(df: DataFrame, wh: Warehouse, table: str) -> DataFrame:
+    """Replace rows and schema of ``table``; returns it as stored."""
+    if wh.provider != "delta":
+        return swap_in(df, wh, table)
+    writer = df.write.format("delta").mode("overwrite").option("overwriteSchema", True)
+    writer.saveAsTable(wh.name(table))
+    return df.sparkSession.table(wh.name(table))
+
+
 def ensure_table(
     spark: SparkSession, wh: Warehouse, table: str, schema: StructType
 ) -> DataFrame:
     """Create ``table`` empty if it is absent, keep its rows if not; check it."""
     name = wh.name(table)
-    empty = spark.createDataFrame([], schema)
-    empty.write.format(wh.provider).mode("ignore").saveAsTable(name)
+    if not table_exists(spark, name):
+        overwrite_table(spark.createDataFrame([], schema), wh, table)
     return require_contract(spark.table(name), schema, name)
 
 
@@ -53,19 +88,6 @@ def ensure_layers(spark: SparkSession, wh: Warehouse) -> None:
         ensure_table(spark, wh, table, schema)
 
 
-def overwrite_table(df: DataFrame, wh: Warehouse, table: str) -> DataFrame:
-    """Replace rows and schema of ``table``; returns it as stored.
-
-    The frame returned reads the files, so later steps neither recompute ``df``
-    nor depend on the executors that did.
-    """
-    writer = df.write.format(wh.provider).mode("overwrite")
-    if wh.provider == "delta":
-        writer = writer.option("overwriteSchema", True)
-    writer.saveAsTable(wh.name(table))
-    return df.sparkSession.table(wh.name(table))
-
-
 def write_layer(df: DataFrame, wh: Warehouse, table: str) -> DataFrame:
     """Check ``df`` against the contract of its layer, then overwrite the table."""
     return overwrite_table(require_contract(df, schemas.TABLES[table], table), wh, table)

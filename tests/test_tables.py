@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from skyledger import schemas
 from skyledger.operators.gold import to_daily, to_monthly
@@ -20,8 +21,9 @@ def test_ensure_checks_what_is_there(spark, wh, silver):
 
 def test_ensure_layers(spark, wh):
     tables.ensure_layers(spark, wh)
-    found = {t.name for t in spark.catalog.listTables(wh.namespace)}
-    assert found == set(schemas.TABLES)
+    for name, schema in schemas.TABLES.items():
+        stored = spark.table(wh.name(name))
+        assert stored.columns == schema.names and not stored.count()
 
 
 def test_overwrite_replaces_rows_and_schema(spark, wh, silver, raw, rows):
@@ -43,3 +45,19 @@ def test_namespace_is_created_in_its_folder(spark, wh):
     tables.create_namespace(spark, wh)
     assert spark.catalog.databaseExists(wh.namespace)
     assert spark.catalog.getDatabase(wh.namespace).locationUri.endswith(wh.location)
+
+
+def test_a_failed_overwrite_leaves_the_table_as_it_was(spark, wh, silver, rows):
+    stored = tables.write_layer(to_daily(silver), wh, schemas.DAILY_NAME)
+    before = rows(stored)
+    fails = to_daily(silver).withColumn("city", F.raise_error(F.lit("bad row")).cast("string"))
+    with pytest.raises(Exception, match="bad row"):
+        tables.write_layer(fails, wh, schemas.DAILY_NAME)
+    assert rows(spark.table(wh.name(schemas.DAILY_NAME))) == before
+
+
+def test_old_versions_go(spark, wh, silver):
+    for _ in range(4):
+        tables.write_layer(to_daily(silver), wh, schemas.DAILY_NAME)
+    versions = spark.catalog.listTables(wh.namespace, f"{schemas.DAILY_NAME}__v*")
+    assert len(versions) == wh.keep == 2
