@@ -6,7 +6,6 @@ import re
 from datetime import date
 
 from pyspark.sql import Column
-from pyspark.sql import functions as F
 
 ISO_DATE = "[0-9]{4}-[0-9]{2}-[0-9]{2}"  # fixed format YYYY-MM-DD
 

@@ -28,7 +28,8 @@ from skyledger.sinks import tables
 from skyledger.sinks.publish import publish_snapshot
 from skyledger.sources import payloads
 from skyledger.sources.csv import read_raw, stream_raw, write_raw
-from skyledger.sources.shipments import as_documents, raw_observations, stations
+from skyledger.sources.shipments import as_documents, stations
+from skyledger.sources.shipments import raw_observations as _raw
 from skyledger.streaming.continuous import read_target, start
 
 # Parameters of the registered lookups.
@@ -57,10 +58,6 @@ CONFIGURED = RuleSet.from_mapping(
 )
 
 
-def _raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return raw_observations(spark, sf_dir)
-
-
 def _bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     return to_bronze(_raw(spark, sf_dir))
 
@@ -333,7 +330,6 @@ def snapshot_publish(spark, sf_dir):
     target, key = schemas.SERVING[schemas.DAILY_NAME]
     tables.overwrite_table(daily.filter(F.month("weather_date") == 1), wh, "january")
     publish_snapshot(spark, wh, "january", target, key)
-    assert tables.table_exists(spark, wh.name(target))
     serving = publish_snapshot(spark, wh, schemas.DAILY_NAME, target, key)
     return serving.select(*schemas.DAILY.names)
 

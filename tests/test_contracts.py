@@ -34,7 +34,8 @@ def test_dictionary(spark):
     dictionary = contracts.data_dictionary(spark).collect()
     assert len(dictionary) == sum(len(s) for s in schemas.LAYERS.values()) == 74
     assert dictionary == sorted(dictionary, key=lambda r: (r.layer, r.position))
-    assert tuple(dictionary[-1]) == ("silver_weather_daily_clean", 20, "ingestion_timestamp", "timestamp", False)
+    last = ("silver_weather_daily_clean", 20, "ingestion_timestamp", "timestamp", False)
+    assert tuple(dictionary[-1]) == last
     assert dictionary[0].position == 1
 
 

@@ -77,4 +77,7 @@ def test_risks(silver):
     assert found.columns == "city weatherDate riskType riskLevel metricValue description".split()
     assert found.count() == 9
     rain = lookups.risks_of_city(risk, "Austin", "HEAVY_RAIN").collect()
-    assert [(r.weatherDate, r.riskLevel) for r in rain] == [("2024-01-03", "MEDIUM"), ("2024-01-04", "HIGH")]
+    assert [(r.weatherDate, r.riskLevel) for r in rain] == [
+        ("2024-01-03", "MEDIUM"),
+        ("2024-01-04", "HIGH"),
+    ]

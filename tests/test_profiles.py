@@ -16,16 +16,19 @@ def test_raw_profile_leaves_out_unnamed_cities(raw):
 
 
 def test_silver_and_daily_profiles(silver):
-    found = [tuple(r)[1:] for r in profiles.silver_by_city(silver).drop("min_date", "max_date").collect()]
-    assert found == [(5, 3, 3, 2), (1, 0, 0, 0)]
-    assert [r.avg_severity for r in profiles.daily_by_city(to_daily(silver)).collect()] == [2.0, 0.0]
+    by_city = profiles.silver_by_city(silver).drop("city", "min_date", "max_date")
+    assert [tuple(r) for r in by_city.collect()] == [(5, 3, 3, 2), (1, 0, 0, 0)]
+    scores = profiles.daily_by_city(to_daily(silver)).collect()
+    assert [r.avg_severity for r in scores] == [2.0, 0.0]
 
 
 def test_yearly_rollup_averages_months_not_days(spark):
     months = [("A", 2024, 1, 10.0, 1.111), ("A", 2024, 2, 20.01, 2.222)]
-    monthly = spark.createDataFrame(
-        months, "city string, year int, month int, avg_mean_temp_c double, total_precipitation_mm double"
+    columns = (
+        "city string, year int, month int, "
+        "avg_mean_temp_c double, total_precipitation_mm double"
     )
+    monthly = spark.createDataFrame(months, columns)
     assert tuple(profiles.monthly_by_year(monthly).first()) == ("A", 2024, 2, 15.01, 3.33)
 
 
@@ -64,15 +67,17 @@ def test_invariants_on_the_given_tables(spark):
     ).first()
     assert (flags.least, flags.most) == (0, 4)
     assert (flags.rainy, flags.hot, flags.freezing) == (51009, 18355, 14237)
-    assert tuple(monthly.agg(F.sum("rainy_days"), F.sum("hot_days"), F.sum("freezing_days")).first()) == (
-        flags.rainy,
-        flags.hot,
-        flags.freezing,
-    )
+    days = monthly.agg(F.sum("rainy_days"), F.sum("hot_days"), F.sum("freezing_days"))
+    assert tuple(days.first()) == (flags.rainy, flags.hot, flags.freezing)
     assert monthly.count() == 8261 and daily.count() == 53307
     daily.unpersist()
     events = {r.risk_type: r.event_count for r in QUERIES["risk_by_type"](spark, SF).collect()}
-    assert events == {"HOT_DAY": 12712, "FREEZING": 14237, "HEAVY_RAIN": 36148, "STRONG_WIND": 20806}
+    assert events == {
+        "HOT_DAY": 12712,
+        "FREEZING": 14237,
+        "HEAVY_RAIN": 36148,
+        "STRONG_WIND": 20806,
+    }
 
 
 def test_gold_is_identical_on_every_run(spark):

@@ -34,7 +34,9 @@ MUTATIONS = {
     "silver empty": (S, lambda df: df.limit(0), {1: "0 rows"}),
     "null date": (
         S,
-        lambda df: df.withColumn("weather_date", F.when(F.col("month") == 2, F.col("weather_date"))),
+        lambda df: df.withColumn(
+            "weather_date", F.when(F.col("month") == 2, F.col("weather_date"))
+        ),
         {2: "5 rows without weather_date"},
     ),
     "daily column renamed": (

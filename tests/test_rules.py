@@ -1,5 +1,7 @@
 import json
 
+from pyspark.sql import functions as F
+
 from skyledger.functions.rules import DRY, STANDARD, WINDY, RuleSet
 from skyledger.operators.gold import to_daily, to_monthly, to_risk, with_created_at
 from skyledger.operators.layers import to_bronze, to_silver
@@ -61,7 +63,7 @@ def test_windy_days(raw, rows):
 
 
 def test_dry_day(silver, rows):
-    dry = silver.filter("day_of_week = 4").selectExpr("* EXCEPT (precipitation_mm)", "0D AS precipitation_mm")
+    dry = silver.filter("day_of_week = 4").withColumn("precipitation_mm", F.lit(0.0))
     found = rows(to_risk(dry, DRY), "risk_type", "risk_level", "metric_value")
     assert ("DRY_DAY", "MEDIUM", 35.0) in found
     assert not to_risk(silver, DRY).filter("risk_type = 'DRY_DAY'").count()

@@ -38,7 +38,8 @@ def test_csv_many_paths(spark, raw, rows, tmp_path):
 
 def test_csv_reordered_header_fails(spark, tmp_path):
     path = tmp_path / "swapped.csv"
-    path.write_text(EDGE_CSV.replace("temperature_2m_max,temperature_2m_min", "temperature_2m_min,temperature_2m_max"))
+    low, high = "temperature_2m_min", "temperature_2m_max"
+    path.write_text(EDGE_CSV.replace(f"{high},{low}", f"{low},{high}"))
     with pytest.raises(Exception, match="CSV header does not conform to the schema"):
         read_raw(spark, str(path)).collect()
 
@@ -66,7 +67,8 @@ def test_flatten(spark, cities, rows):
 
 def test_flatten_keeps_days_of_an_unknown_city(spark, cities):
     docs = spark.createDataFrame([("Oslo", document())], "city string, payload string")
-    assert [(r.city, r.latitude) for r in payloads.flatten(docs, cities).collect()] == [("Oslo", None)] * 2
+    found = payloads.flatten(docs, cities).collect()
+    assert [(r.city, r.latitude) for r in found] == [("Oslo", None)] * 2
 
 
 @pytest.mark.parametrize(
