@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from skyledger.llm import mixing, pii, secret_scan
+from skyledger.llm.bpe import encode_documents
 from skyledger.llm.common import read
 from skyledger.llm.exact_dedup import exact_groups
 from skyledger.llm.near_dedup import near_duplicates
@@ -18,6 +20,26 @@ def op3_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(read(spark, sf_dir, "documents"))
+    taken = (F.col("first") + F.col("second")).alias("taken")
+    return mixed.select("doc_id", "source", "size", "source_size", "target", taken)
+
+
+def _with_spans(found: DataFrame, module) -> DataFrame:
+    spans = F.col("spans")
+    return found.select(
+        "doc_id",
+        *(pii.count_of(spans, kind).alias(f"n_{kind}") for kind in module.BASE),
+        F.sha2(pii.told(pii.base_only(spans, module.BASE)), 256).alias("base_sha256"),
+        pii.told(spans).alias("spans"),
+    )
+
+
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _with_spans(pii.personal_data(read(spark, sf_dir, "documents")), pii)
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(read(spark, sf_dir, "documents"))
 
@@ -27,10 +49,28 @@ def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _with_spans(secret_scan.secrets(read(spark, sf_dir, "documents")), secret_scan)
+
+
+def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = encode_documents(read(spark, sf_dir, "documents"))
+    return coded.select(
+        "doc_id",
+        "n_tokens",
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES = {
     "op3_passages": op3_passages,
+    "op4_mixing": op4_mixing,
+    "op5_pii": op5_pii,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_near_dedup": op7_near_dedup,
+    "op8_secrets": op8_secrets,
+    "op10_bpe": op10_bpe,
 }
 
 _WORDS = r"list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), x -> x <> '')"
