@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm import mixing, pii, secret_scan
+from skyledger.llm import mixing, outliers, pii, secret_scan, toxicity
 from skyledger.llm.bpe import encode_documents
 from skyledger.llm.common import read
 from skyledger.llm.exact_dedup import exact_groups
@@ -13,6 +13,23 @@ from skyledger.llm.near_dedup import near_duplicates
 from skyledger.llm.passages import remove_repeated_passages
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    fold = toxicity.remainder("_id")
+    model = toxicity.train(docs, read(spark, sf_dir, "labels"), learn=fold != 0)
+    scored = toxicity.with_score(docs, model, "score")
+    return scored.select(
+        "doc_id",
+        F.coalesce(toxicity.remainder("doc_id") == 0, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
+def op2_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return outliers.judged(read(spark, sf_dir, "documents"))
+
+
 def op3_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = remove_repeated_passages(read(spark, sf_dir, "documents"))
     return kept.select(
@@ -64,6 +81,8 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
+    "op2_outliers": op2_outliers,
     "op3_passages": op3_passages,
     "op4_mixing": op4_mixing,
     "op5_pii": op5_pii,
