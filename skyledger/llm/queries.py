@@ -9,6 +9,7 @@ from skyledger.llm import mixing, outliers, pii, secret_scan, toxicity
 from skyledger.llm.bpe import encode_documents
 from skyledger.llm.common import read
 from skyledger.llm.exact_dedup import exact_groups
+from skyledger.llm.language_model import language_model_scores
 from skyledger.llm.near_dedup import near_duplicates
 from skyledger.llm.passages import remove_repeated_passages
 
@@ -70,6 +71,12 @@ def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _with_spans(secret_scan.secrets(read(spark, sf_dir, "documents")), secret_scan)
 
 
+def op9_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model_scores(
+        read(spark, sf_dir, "documents"), toxicity.remainder("doc_id") == 1
+    )
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = encode_documents(read(spark, sf_dir, "documents"))
     return coded.select(
@@ -89,6 +96,7 @@ QUERIES = {
     "op6_exact_dedup": op6_exact_dedup,
     "op7_near_dedup": op7_near_dedup,
     "op8_secrets": op8_secrets,
+    "op9_language_model": op9_language_model,
     "op10_bpe": op10_bpe,
 }
 
