@@ -8,6 +8,7 @@ no Python object per word. White space is the six ASCII characters 0x20 and
 from __future__ import annotations
 
 import os
+import tempfile
 import zipfile
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -45,8 +46,7 @@ def ship(spark: SparkSession) -> None:
     found = [Path(p).resolve() for p in os.environ.get("PYTHONPATH", "").split(":") if p]
     if root in found or Path.cwd().resolve() == root or getattr(spark, "_skyledger_sent", 0):
         return
-    packed = Path(scratch_path(spark, "package").removeprefix("file://") + ".zip")
-    packed.parent.mkdir(parents=True, exist_ok=True)
+    packed = Path(tempfile.mkdtemp(prefix="skyledger-")) / "skyledger_package.zip"
     with zipfile.ZipFile(packed, "w") as out:
         for file in (root / "skyledger").rglob("*.py"):
             out.write(file, file.relative_to(root))

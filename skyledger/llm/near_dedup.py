@@ -4,19 +4,22 @@ A document's set holds the hashes of its distinct ``SHINGLE``-word sequences, wi
 A-Z lower-cased. Documents with equal sets form a class; only classes go on, so a
 large group of copies is one row.
 
-* *Signatures.* ``PERMUTATIONS`` minima, cut into ``BANDS`` bands. A pair of
-  similarity 0.75 shares a band except with probability 5e-6, one of 0.8 except
-  with 5e-8.
+* *Signatures.* ``PERMUTATIONS`` minima; the first ones are cut into ``BANDS``
+  bands of ``ROWS``. A pair of similarity 0.75 shares a band except with probability
+  5e-6, one of 0.8 except with 5e-8.
 * *Odd sketches.* Each (permutation, minimum) flips one of ``BITS`` bits. The XOR
   of two sketches has a bit set where an odd number of samples differ, and its
   population count estimates the similarity: 1 + n / 4k * ln(1 - 2x / n). At 0.75
-  the estimate strays by 0.045; pairs estimated below 0.5 are dropped.
+  the estimate strays by 0.029; pairs estimated below ``LEAST_ESTIMATE`` are dropped.
 * *Confirmation.* The full sets of the remaining pairs are intersected.
 
-Within a bucket every class is paired with the bucket's pivot (its smallest class),
-so a large bucket gives a line of pairs, not a square. Buckets whose members are
-then not all connected are taken up again: pairs of classes from different
-components are compared, until no link can be missing.
+Within a bucket every class is first paired with one pivot, so a large bucket gives
+a line of pairs, not a square. Buckets whose members are then not all connected get
+another pivot, for the members outside its component, ``PIVOTS`` times in all. What
+is still apart after that is compared in blocks of a bucket by the sketches alone,
+inside a task; only likely pairs from different components leave it, each from the
+first bucket that it shares. So no link between components is missed for want of a
+comparison, and no bucket is squared into rows.
 
 Documents without words have an empty set and are linked with nothing. Repeated
 rows share a class. A missing id is larger than any other.
@@ -28,14 +31,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skyledger.llm.common import Words, chunked_words, mix, stored
 
 SHINGLE = 5
-PERMUTATIONS, BANDS, BITS = 128, 32, 512
-LEAST_PERCENT, LEAST_ESTIMATE = 75, 0.5
+PERMUTATIONS, BANDS, ROWS, BITS = 256, 32, 4, 1024
+LEAST_PERCENT, LEAST_ESTIMATE = 75, 0.62
+PIVOTS, BLOCK = 3, 512
+# The estimate is at least LEAST_ESTIMATE if at most so many bits differ.
+MOST_FLIPS = int(BITS / 2 * (1 - np.exp((LEAST_ESTIMATE - 1) * 4 * PERMUTATIONS / BITS)))
 
 _seeds = np.random.default_rng(20240229)
 FACTORS = _seeds.integers(0, 1 << 32, PERMUTATIONS, np.uint32) | np.uint32(1)
@@ -74,9 +81,9 @@ def minima(values: np.ndarray) -> np.ndarray:
 
 def band_keys(mins: np.ndarray) -> np.ndarray:
     """One key per text and band; a key holds its band's number."""
-    rows = mins.astype(np.uint64).reshape(len(mins), BANDS, -1)
+    rows = mins[:, : BANDS * ROWS].astype(np.uint64).reshape(len(mins), BANDS, ROWS)
     key = np.broadcast_to(np.arange(1, BANDS + 1, dtype=np.uint64), rows.shape[:2])
-    for k in range(rows.shape[2]):
+    for k in range(ROWS):
         key = mix(key ^ rows[:, :, k]) * np.uint64(0x9E3779B97F4A7C15)
     return key.view(np.int64)
 
@@ -93,7 +100,7 @@ def odd_sketches(mins: np.ndarray) -> np.ndarray:
 def _lists(rows: np.ndarray, empty: np.ndarray) -> pa.Array:
     offsets = np.arange(len(rows) + 1, dtype=np.int32) * rows.shape[1]
     made = pa.ListArray.from_arrays(pa.array(offsets), pa.array(rows.ravel()))
-    return pa.compute.if_else(pa.array(empty), pa.scalar(None, made.type), made)
+    return pc.if_else(pa.array(empty), pa.scalar(None, made.type), made)
 
 
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -128,13 +135,10 @@ def _full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield pa.RecordBatch.from_arrays([keys, grams], names=["class", "grams"])
 
 
-def estimate(a: Column, b: Column) -> Column:
-    """Similarity from two odd sketches; at most 0 where they differ in half of the bits."""
-    flips = F.aggregate(
-        F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda n, x: n + x
-    )
-    rest = F.greatest(1 - 2 * flips / F.lit(float(BITS)), F.lit(1e-9))
-    return 1 + F.lit(BITS / (4 * PERMUTATIONS)) * F.log(rest)
+def flips(a: Column, b: Column) -> Column:
+    """Bits that differ between two odd sketches."""
+    apart = F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    return F.aggregate(apart, F.lit(0), lambda n, x: n + x)
 
 
 def _rows(docs: DataFrame) -> DataFrame:
@@ -150,7 +154,7 @@ def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFra
     likely = stored(
         pairs.join(sketch, "a")
         .join(other, "b")
-        .filter(estimate(F.col("_x"), F.col("_y")) >= LEAST_ESTIMATE)
+        .filter(flips(F.col("_x"), F.col("_y")) <= MOST_FLIPS)
         .select("a", "b"),
         "pairs",
     )
@@ -201,6 +205,106 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
+def _open(placed: DataFrame) -> DataFrame:
+    """Members of the buckets that hold several components, with the bucket's size."""
+    split = (
+        placed.groupBy("bucket")
+        .agg(
+            F.min("component").alias("_low"),
+            F.max("component").alias("_high"),
+            F.count(F.lit(1)).alias("_size"),
+        )
+        .filter("_low != _high")
+    )
+    return placed.join(split.select("bucket", "_size"), "bucket")
+
+
+def _pivot_pairs(placed: DataFrame, k: int) -> DataFrame:
+    """Each member of an open bucket with its pivot, unless they are connected already.
+
+    Another pivot for each bucket and round: a class that shares several buckets
+    with others meets several of them.
+    """
+    rows = stored(_open(placed), "open_buckets")
+    draw = F.struct(F.xxhash64("class", "bucket", F.lit(k)).alias("h"), "class", "component")
+    pivots = rows.groupBy("bucket").agg(F.min(draw).alias("_pivot"))
+    return (
+        rows.join(pivots, "bucket")
+        .filter(F.col("component") != F.col("_pivot.component"))
+        .select(
+            F.least("class", "_pivot.class").alias("a"),
+            F.greatest("class", "_pivot.class").alias("b"),
+        )
+    )
+
+
+def _likely_pairs(table: pa.Table) -> pa.Table:
+    """Likely pairs of different components in the blocks of a group of buckets."""
+    names = ("bucket", "low", "high", "chunk", "size")
+    bucket, low, high, chunk, size = (table[c].to_numpy() for c in names)
+    classes = np.array(table["class"].to_pylist(), object)
+    component = np.unique(np.array(table["component"].to_pylist(), object), return_inverse=True)[1]
+    sketch, bands = (
+        pc.list_flatten(table[c]).to_numpy().reshape(len(size), -1)
+        for c in ("sketch", "bands")
+    )
+    order = np.lexsort((high, low, bucket))
+    key = np.stack([bucket[order], low[order], high[order]])
+    cuts = np.flatnonzero((np.diff(key) != 0).any(axis=0)) + 1
+    left_out, right_out = [], []
+    for rows in np.split(order, cuts):
+        one = rows[chunk[rows] == low[rows[0]]]
+        two = rows[chunk[rows] == high[rows[0]]]
+        apart = component[one][:, None] != component[two][None, :]
+        if low[rows[0]] == high[rows[0]]:
+            apart = np.triu(apart, 1)
+        small = np.minimum(size[one][:, None], size[two][None, :])
+        large = np.maximum(size[one][:, None], size[two][None, :])
+        i, j = np.nonzero(apart & (100 * small >= LEAST_PERCENT * large))
+        for at in range(0, len(i), 1 << 16):
+            x, y = one[i[at : at + (1 << 16)]], two[j[at : at + (1 << 16)]]
+            near = np.bitwise_count((sketch[x] ^ sketch[y]).view(np.uint64)).sum(axis=1) <= MOST_FLIPS
+            x, y = x[near], y[near]
+            first = (bands[x] == bands[y]).argmax(axis=1)
+            here = bands[x, first] == bucket[rows[0]]
+            left_out.append(x[here])
+            right_out.append(y[here])
+    none = np.zeros(0, np.int64)
+    a, b = (classes[np.concatenate([none, *side])] for side in (left_out, right_out))
+    return pa.table({"a": pa.array(list(a), pa.binary()), "b": pa.array(list(b), pa.binary())})
+
+
+def _across_blocks(placed: DataFrame, classes: DataFrame) -> DataFrame:
+    """Likely pairs (a, b) between the components of the buckets still open.
+
+    A bucket is dealt into chunks of about ``BLOCK`` classes, and every two chunks
+    are a block, whatever their bucket's size.
+    """
+    chunks = F.ceil(F.col("_size") / BLOCK).cast("int")
+    rows = _open(placed).join(
+        classes.select("class", "sketch", "bands", F.col("n_shingles").alias("size")), "class"
+    )
+    rows = rows.withColumn("_chunks", chunks).withColumn(
+        "chunk", F.pmod(F.xxhash64("class"), F.col("_chunks")).cast("int")
+    )
+    every = F.explode(F.sequence(F.lit(0), F.col("_chunks") - 1)).alias("other")
+    blocks = rows.select("*", every).select(
+        "bucket",
+        F.least("chunk", "other").alias("low"),
+        F.greatest("chunk", "other").alias("high"),
+        "chunk",
+        "size",
+        "class",
+        "component",
+        "sketch",
+        "bands",
+    )
+    n = 4 * int(placed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    task = F.pmod(F.xxhash64("bucket", "low", "high"), F.lit(n)).alias("_task")
+    pairs = blocks.groupBy(task).applyInArrow(_likely_pairs, "a binary, b binary")
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """Per row of ``docs``: doc_id, n_shingles, class, component, component_id, kept."""
     signed = stored(_rows(docs).mapInArrow(_sign, SIGNED), "signed")
@@ -209,48 +313,33 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         .groupBy("class")
         .agg(
             F.min("doc_id").alias("min_id"),
+            F.first("n_shingles").alias("n_shingles"),
             F.first("bands").alias("bands"),
             F.first("sketch").alias("sketch"),
         ),
         "classes",
     )
     members = classes.select(F.explode("bands").alias("bucket"), "class")
-    pivots = (
-        members.groupBy("bucket")
-        .agg(F.min("class").alias("pivot"), F.count(F.lit(1)).alias("n"))
-        .filter("n > 1")
-        .select("bucket", "pivot")
-    )
-    crowded = stored(members.join(pivots, "bucket"), "buckets")
-    star = crowded.filter("class != pivot").select(
-        F.col("pivot").alias("a"), F.col("class").alias("b")
-    )
-    links = _confirmed(star.distinct(), classes, docs)
-    found = components(links)
-
-    # Buckets that the links so far leave in several components.
-    placed = crowded.join(found, "class", "left").select(
-        "bucket", "class", "pivot", F.coalesce("component", "class").alias("component")
-    )
-    split = placed.groupBy("bucket").agg(
-        F.min("component").alias("_low"), F.max("component").alias("_high")
-    )
-    rest = stored(
-        placed.join(split.filter("_low != _high").select("bucket"), "bucket"), "open_buckets"
-    )
-    a, b = rest.alias("x"), rest.alias("y")
-    apart = (
-        (F.col("x.bucket") == F.col("y.bucket"))
-        & (F.col("x.component") < F.col("y.component"))
-        & (F.col("x.class") != F.col("x.pivot"))
-        & (F.col("y.class") != F.col("x.pivot"))
-    )
-    crossing = a.join(b, apart).select(
-        F.least("x.class", "y.class").alias("a"), F.greatest("x.class", "y.class").alias("b")
-    )
-    more = _confirmed(crossing.distinct(), classes, docs)
-    if not more.isEmpty():
-        found = components(links.unionByName(more))
+    shared = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
+    crowded = stored(members.join(shared.select("bucket"), "bucket"), "buckets")
+    links, found = None, None
+    for k in range(PIVOTS + 1):
+        placed = crowded.withColumn("component", F.col("class"))
+        if found is not None:
+            placed = crowded.join(found, "class", "left").select(
+                "bucket", "class", F.coalesce("component", "class").alias("component")
+            )
+        if k == PIVOTS:
+            pairs = _across_blocks(placed, classes)
+        else:
+            pairs = _pivot_pairs(placed, k)
+        more = _confirmed(pairs.distinct(), classes, docs)
+        if more.isEmpty():
+            continue
+        links = more if links is None else stored(links.unionByName(more), "links")
+        found = components(links)
+    if found is None:
+        found = classes.select("class", F.col("class").alias("component"))
 
     placed = classes.select("class", "min_id").join(found, "class", "left").select(
         "class", "min_id", F.coalesce("component", "class").alias("component")
