@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 LEAF = 32
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 
 
 class Tokenizer:

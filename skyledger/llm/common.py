@@ -28,7 +28,7 @@ SPACE[[9, 10, 11, 12, 13, 32]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 LAST = np.iinfo(np.int64).max  # stands for a missing doc_id: after all others
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18
 
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)

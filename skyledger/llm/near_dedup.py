@@ -14,11 +14,11 @@ large group of copies is one row.
 * *Confirmation.* The full sets of the remaining pairs are intersected.
 
 Within a bucket every class is first paired with one pivot, so a large bucket gives
-a line of pairs, not a square. Buckets whose members are then not all connected get
-another pivot, for the members outside its component, ``PIVOTS`` times in all. What
-is still apart after that is compared in blocks of a bucket by the sketches alone,
-inside a task; only likely pairs from different components leave it, each from the
-first bucket that it shares. So no link between components is missed for want of a
+a line of pairs, not a square.
+Buckets whose members are then not all connected get another pivot, for the members
+outside its component, ``PIVOTS`` times in all. What is still apart after that is
+compared in blocks of a bucket inside a task, by sketches and then by full sets;
+only links leave it. So no link between components is missed for want of a
 comparison, and no bucket is squared into rows.
 
 Documents without words have an empty set and are linked with nothing. Repeated
@@ -40,7 +40,7 @@ from skyledger.llm.common import Words, chunked_words, mix, stored
 SHINGLE = 5
 PERMUTATIONS, BANDS, ROWS, BITS = 256, 32, 4, 1024
 LEAST_PERCENT, LEAST_ESTIMATE = 75, 0.62
-PIVOTS, BLOCK = 3, 512
+PIVOTS, BLOCK, SLICE = 3, 2048, 128
 # The estimate is at least LEAST_ESTIMATE if at most so many bits differ.
 MOST_FLIPS = int(BITS / 2 * (1 - np.exp((LEAST_ESTIMATE - 1) * 4 * PERMUTATIONS / BITS)))
 
@@ -147,21 +147,37 @@ def _rows(docs: DataFrame) -> DataFrame:
     )
 
 
-def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
-    """Of ``pairs`` (a, b) the linked ones: sketch first, then the full sets."""
+def _sets_of(wanted: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """(class, grams) of the classes in ``wanted``, made anew from the texts."""
+    ids = classes.join(wanted, "class").select("min_id").distinct()
+    texts = _rows(docs).join(ids, F.col("doc_id").eqNullSafe(F.col("min_id")), "left_semi")
+    return texts.mapInArrow(_full_sets, "class binary, grams array<bigint>")
+
+
+def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, best: bool) -> DataFrame:
+    """Of ``pairs`` (a, b) the linked ones: sketch first, then the full sets.
+
+    With ``best`` each class brings forward only its likeliest pair; a pair that is
+    left out comes up again if its classes stay apart.
+    """
     sketch = classes.select(F.col("class").alias("a"), F.col("sketch").alias("_x"))
     other = classes.select(F.col("class").alias("b"), F.col("sketch").alias("_y"))
-    likely = stored(
+    likely = (
         pairs.join(sketch, "a")
         .join(other, "b")
-        .filter(flips(F.col("_x"), F.col("_y")) <= MOST_FLIPS)
-        .select("a", "b"),
-        "pairs",
+        .select("a", "b", flips(F.col("_x"), F.col("_y")).alias("_flips"))
+        .filter(F.col("_flips") <= MOST_FLIPS)
     )
-    wanted = likely.select(F.explode(F.array("a", "b")).alias("class")).distinct()
-    ids = classes.join(wanted, "class").select("min_id").distinct()
-    texts = _rows(docs).join(ids, F.col("doc_id").eqNullSafe(F.col("min_id")), "left_semi")
-    sets = texts.mapInArrow(_full_sets, "class binary, grams array<bigint>")
+    if best:
+        likely = stored(likely, "likely")
+        ranked = F.min(F.struct("_flips", "a", "b")).alias("_best")
+        sides = likely.groupBy("a").agg(ranked).unionByName(
+            likely.groupBy("b").agg(ranked).withColumnRenamed("b", "a")
+        )
+        likely = sides.select("_best.a", "_best.b").distinct()
+    likely = stored(likely.select("a", "b"), "pairs")
+    sides = likely.select(F.col("a").alias("class")).union(likely.select("b"))
+    sets = _sets_of(sides.distinct(), classes, docs)
     left = sets.select(F.col("class").alias("a"), F.col("grams").alias("_x"))
     right = sets.select(F.col("class").alias("b"), F.col("grams").alias("_y"))
     both = F.size(F.array_intersect("_x", "_y"))
@@ -238,53 +254,56 @@ def _pivot_pairs(placed: DataFrame, k: int) -> DataFrame:
     )
 
 
-def _likely_pairs(table: pa.Table) -> pa.Table:
-    """Likely pairs of different components in the blocks of a group of buckets."""
+def _links_in_blocks(table: pa.Table) -> pa.Table:
+    """Links between different components in the blocks of a group of buckets."""
     names = ("bucket", "low", "high", "chunk", "size")
     bucket, low, high, chunk, size = (table[c].to_numpy() for c in names)
-    classes = np.array(table["class"].to_pylist(), object)
+    classes = table["class"].to_pylist()
     component = np.unique(np.array(table["component"].to_pylist(), object), return_inverse=True)[1]
-    sketch, bands = (
-        pc.list_flatten(table[c]).to_numpy().reshape(len(size), -1)
-        for c in ("sketch", "bands")
-    )
+    sketch = pc.list_flatten(table["sketch"]).to_numpy().view(np.uint64).reshape(len(size), -1)
+    grams = pc.list_flatten(table["grams"]).to_numpy()
+    ends = np.cumsum(pc.list_value_length(table["grams"]).to_numpy().astype(np.int64))
     order = np.lexsort((high, low, bucket))
     key = np.stack([bucket[order], low[order], high[order]])
     cuts = np.flatnonzero((np.diff(key) != 0).any(axis=0)) + 1
-    left_out, right_out = [], []
+    found = set()
     for rows in np.split(order, cuts):
-        one = rows[chunk[rows] == low[rows[0]]]
+        every = rows[chunk[rows] == low[rows[0]]]
         two = rows[chunk[rows] == high[rows[0]]]
-        apart = component[one][:, None] != component[two][None, :]
-        if low[rows[0]] == high[rows[0]]:
-            apart = np.triu(apart, 1)
-        small = np.minimum(size[one][:, None], size[two][None, :])
-        large = np.maximum(size[one][:, None], size[two][None, :])
-        i, j = np.nonzero(apart & (100 * small >= LEAST_PERCENT * large))
-        for at in range(0, len(i), 1 << 16):
-            x, y = one[i[at : at + (1 << 16)]], two[j[at : at + (1 << 16)]]
-            near = np.bitwise_count((sketch[x] ^ sketch[y]).view(np.uint64)).sum(axis=1) <= MOST_FLIPS
-            x, y = x[near], y[near]
-            first = (bands[x] == bands[y]).argmax(axis=1)
-            here = bands[x, first] == bucket[rows[0]]
-            left_out.append(x[here])
-            right_out.append(y[here])
-    none = np.zeros(0, np.int64)
-    a, b = (classes[np.concatenate([none, *side])] for side in (left_out, right_out))
-    return pa.table({"a": pa.array(list(a), pa.binary()), "b": pa.array(list(b), pa.binary())})
-
-
-def _across_blocks(placed: DataFrame, classes: DataFrame) -> DataFrame:
-    """Likely pairs (a, b) between the components of the buckets still open.
+        for at in range(0, len(every), SLICE):
+            one = every[at : at + SLICE]
+            apart = component[one][:, None] != component[two][None, :]
+            small = np.minimum(size[one][:, None], size[two][None, :])
+            large = np.maximum(size[one][:, None], size[two][None, :])
+            apart &= 100 * small >= LEAST_PERCENT * large
+            if low[rows[0]] == high[rows[0]]:  # one chunk with itself: each pair once
+                apart &= np.arange(at, at + len(one))[:, None] < np.arange(len(two))
+            i, j = np.nonzero(apart)
+            for k in range(0, len(i), 1 << 14):
+                x, y = one[i[k : k + (1 << 14)]], two[j[k : k + (1 << 14)]]
+                near = np.bitwise_count(sketch[x] ^ sketch[y]).sum(axis=1) <= MOST_FLIPS
+                for a, b in zip(x[near].tolist(), y[near].tolist(), strict=True):
+                    pair = (min(classes[a], classes[b]), max(classes[a], classes[b]))
+                    if pair not in found:
+                        sets = (grams[ends[c] - size[c] : ends[c]] for c in (a, b))
+                        both = len(np.intersect1d(*sets, assume_unique=True))
+                        if 100 * both >= LEAST_PERCENT * (size[a] + size[b] - both):
+                            found.add(pair)
+    a, b = zip(*sorted(found), strict=True) if found else ((), ())
+    return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
+
+
+def _across_blocks(placed: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """Links (a, b) between the components of the buckets still open.
 
     A bucket is dealt into chunks of about ``BLOCK`` classes, and every two chunks
     are a block, whatever their bucket's size.
     """
-    chunks = F.ceil(F.col("_size") / BLOCK).cast("int")
-    rows = _open(placed).join(
-        classes.select("class", "sketch", "bands", F.col("n_shingles").alias("size")), "class"
-    )
-    rows = rows.withColumn("_chunks", chunks).withColumn(
+    still = stored(_open(placed), "apart")
+    sets = _sets_of(still.select("class").distinct(), classes, docs)
+    known = classes.select("class", "sketch", F.col("n_shingles").alias("size"))
+    rows = still.join(sets.join(known, "class"), "class")
+    rows = rows.withColumn("_chunks", F.ceil(F.col("_size") / BLOCK).cast("int")).withColumn(
         "chunk", F.pmod(F.xxhash64("class"), F.col("_chunks")).cast("int")
     )
     every = F.explode(F.sequence(F.lit(0), F.col("_chunks") - 1)).alias("other")
@@ -297,12 +316,12 @@ def _across_blocks(placed: DataFrame, classes: DataFrame) -> DataFrame:
         "class",
         "component",
         "sketch",
-        "bands",
+        "grams",
     )
     n = 4 * int(placed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     task = F.pmod(F.xxhash64("bucket", "low", "high"), F.lit(n)).alias("_task")
-    pairs = blocks.groupBy(task).applyInArrow(_likely_pairs, "a binary, b binary")
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    links = blocks.groupBy(task).applyInArrow(_links_in_blocks, "a binary, b binary")
+    return stored(links.distinct(), "links")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -330,10 +349,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
                 "bucket", "class", F.coalesce("component", "class").alias("component")
             )
         if k == PIVOTS:
-            pairs = _across_blocks(placed, classes)
+            more = _across_blocks(placed, classes, docs)
         else:
-            pairs = _pivot_pairs(placed, k)
-        more = _confirmed(pairs.distinct(), classes, docs)
+            more = _confirmed(_pivot_pairs(placed, k).distinct(), classes, docs, best=k > 0)
         if more.isEmpty():
             continue
         links = more if links is None else stored(links.unionByName(more), "links")
