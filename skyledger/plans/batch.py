@@ -14,12 +14,19 @@ from skyledger.operators.gold import to_daily, to_monthly, to_risk
 from skyledger.operators.layers import to_bronze, to_silver
 from skyledger.operators.profiles import raw_by_city
 from skyledger.sinks.publish import publish
-from skyledger.sinks.tables import Warehouse, ensure_layers, overwrite_table, write_layer
+from skyledger.sinks.tables import (
+    Warehouse,
+    current_version,
+    ensure_layers,
+    overwrite_table,
+    write_layer,
+)
 from skyledger.sources.csv import read_raw, write_raw
 from skyledger.sources.payloads import flatten
 
 RESULTS_NAME = "dq_results"
 VERDICT_NAME = "dq_verdict"
+CHECKED_NAME = "dq_checked_versions"
 
 
 def export_raw(documents: DataFrame, cities: DataFrame, path: str) -> DataFrame:
@@ -57,23 +64,36 @@ def check_layers(spark: SparkSession, wh: Warehouse) -> quality.Verdict:
     """Run the checks on the stored tables and store results and verdict.
 
     The verdict is stored whether it is good or bad, so that a gate in another
-    job can read it even though this run then fails.
+    job can read it even though this run then fails. With it goes the version of
+    each table that was checked.
     """
-    results = quality.run_checks(lambda name: spark.table(wh.name(name)))
+    versions = {name: current_version(spark, wh, name) for name in schemas.TABLES}
+    results = quality.run_checks(lambda name: spark.table(versions[name] or wh.name(name)))
     verdict = quality.judge(results)
     overwrite_table(quality.results_frame(spark, results), wh, RESULTS_NAME)
     overwrite_table(quality.verdict_frame(spark, verdict), wh, VERDICT_NAME)
+    rows = [(name, version, verdict.dq_passed) for name, version in versions.items()]
+    checked = spark.createDataFrame(rows, "dataset STRING, version STRING, dq_passed BOOLEAN")
+    overwrite_table(checked, wh, CHECKED_NAME)
     return verdict
 
 
 def publish_if_passed(
     spark: SparkSession, wh: Warehouse, tables: Sequence[str] = (schemas.DAILY_NAME,)
 ) -> bool:
-    """Publish only behind a stored passing verdict; says whether it did."""
-    passed = spark.table(wh.name(VERDICT_NAME)).first().dq_passed
-    if passed:
-        publish(spark, wh, tables, checked=quality.KEYED)
-    return passed
+    """Publish only what a passing verdict was about; says whether it did.
+
+    The gate refuses a table that has been written since its check. A provider
+    without versions of ours (delta) is judged by the stored verdict alone.
+    """
+    checked = {r.dataset: r for r in spark.table(wh.name(CHECKED_NAME)).collect()}
+    for table in tables:
+        row = checked.get(table)
+        if not row or not row.dq_passed or row.version != current_version(spark, wh, table):
+            return False
+    versions = {table: checked[table].version for table in tables}
+    publish(spark, wh, tables, checked=quality.KEYED, versions=versions)
+    return True
 
 
 def run(

@@ -49,6 +49,17 @@ def test_gate_refuses_after_a_bad_verdict(spark, raw, wh):
     assert not tables.table_exists(spark, wh.name(SERVED))
 
 
+def test_gate_refuses_layers_built_since_the_check(spark, raw, wh, rows):
+    batch.run(raw, wh)
+    served = rows(spark.table(wh.name(SERVED)))
+    batch.build_layers(raw.limit(0), wh)
+    assert not batch.publish_if_passed(spark, wh)
+    assert rows(spark.table(wh.name(SERVED))) == served
+    batch.build_layers(raw, wh)
+    batch.check_layers(spark, wh)
+    assert batch.publish_if_passed(spark, wh)
+
+
 def test_bad_dates_can_reach_the_checks(spark, raw, wh):
     spoiled = raw.replace({"2024-02-29": "2024-02-30"}, subset="time")
     with pytest.raises(RuntimeError, match="1 rows without weather_date"):

@@ -61,3 +61,57 @@ def test_old_versions_go(spark, wh, silver):
         tables.write_layer(to_daily(silver), wh, schemas.DAILY_NAME)
     versions = spark.catalog.listTables(wh.namespace, f"{schemas.DAILY_NAME}__v*")
     assert len(versions) == wh.keep == 2
+
+
+def test_tables_of_others_are_not_versions(spark, wh, silver):
+    spark.range(7).write.saveAsTable(wh.name("t__v0_backup"))
+    spark.range(3).write.saveAsTable(wh.name("t__v1"))  # named like one, but not marked
+    for _ in range(4):
+        tables.overwrite_table(silver, wh, "t")
+    assert spark.table(wh.name("t__v0_backup")).count() == 7
+    assert spark.table(wh.name("t__v1")).count() == 3
+
+
+def test_a_slow_writer_is_seen_and_stays(spark, wh):
+    slow = tables._write_version(spark.range(1), wh, "t")
+    for n in (2, 3):
+        tables.overwrite_table(spark.range(n), wh, "t")
+    tables._show(spark, wh, "t", slow, "CREATE OR REPLACE VIEW")
+    tables._retire(spark, wh, "t")
+    assert spark.table(wh.name("t")).count() == 1
+    assert tables.overwrite_table(spark.range(4), wh, "t").count() == 4
+
+
+def test_ensure_keeps_a_table_filled_meanwhile(spark, wh, silver, monkeypatch):
+    name = schemas.DAILY_NAME
+    monkeypatch.setattr(tables, "table_exists", lambda *_: False)
+    monkeypatch.setattr(tables, "current_version", lambda *_: "another")
+    tables.overwrite_table(to_daily(silver), wh, name)
+    assert tables.ensure_table(spark, wh, name, schemas.DAILY).count() == 6
+    assert len(spark.catalog.listTables(wh.namespace, f"{name}__v*")) == 1
+
+
+def test_a_plain_table_is_refused_before_writing(spark, wh, silver):
+    spark.range(5).write.saveAsTable(wh.name("plain"))
+    with pytest.raises(ValueError, match="is a table"):
+        tables.overwrite_table(silver, wh, "plain")
+    assert spark.table(wh.name("plain")).count() == 5
+    assert not spark.catalog.listTables(wh.namespace, "plain__v*")
+
+
+def test_a_failed_switch_leaves_no_version(spark, wh, monkeypatch):
+    tables.overwrite_table(spark.range(2), wh, "t")
+    monkeypatch.setattr(tables, "_REPLACE", "CREATE NOTHING")
+    with pytest.raises(Exception, match="PARSE"):
+        tables.overwrite_table(spark.range(3), wh, "t")
+    assert spark.table(wh.name("t")).count() == 2
+    assert len(spark.catalog.listTables(wh.namespace, "t__v*")) == 1
+
+
+def test_versions_stay_for_as_long_as_asked(spark, wh):
+    long = tables.Warehouse(wh.namespace, wh.location, retain_seconds=3600)
+    for n in range(4):
+        tables.overwrite_table(spark.range(n), long, "t")
+    assert len(spark.catalog.listTables(wh.namespace, "t__v*")) == 4
+    with pytest.raises(ValueError, match="keep"):
+        tables.Warehouse(keep=0)
