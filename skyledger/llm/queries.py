@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm import mixing, outliers, pii, secret_scan, toxicity
+from skyledger.llm import merkle, mixing, outliers, pii, secret_scan, sql, toxicity
 from skyledger.llm.bpe import encode_documents
 from skyledger.llm.common import read
 from skyledger.llm.exact_dedup import exact_groups
@@ -87,6 +87,25 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    lowered = F.translate("text", sql.UPPER, sql.LOWER)
+    changed = merkle.leaf_digest(*(lowered if c == "text" else F.col(c) for c in merkle.FIELDS))
+    chosen = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    made = merkle.manifest(docs, carry={"tampered": F.when(chosen, changed)})
+    leaf, siblings = merkle.told(F.col("h")), F.col("siblings")
+    start = F.coalesce(merkle.told(F.col("tampered")), leaf)
+    root = F.lit(made.root).cast("string")
+    return merkle.proofs(made).select(
+        "doc_id",
+        leaf.alias("leaf"),
+        merkle.told(F.col("subroot")).alias("subroot"),
+        root.alias("root"),
+        F.sha2(merkle.told(siblings), 256).alias("proof_sha256"),
+        merkle.folded(start, siblings, F.col("places"), F.col("runs")).alias("folded_root"),
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_outliers": op2_outliers,
@@ -98,9 +117,10 @@ QUERIES = {
     "op8_secrets": op8_secrets,
     "op9_language_model": op9_language_model,
     "op10_bpe": op10_bpe,
+    "op11_merkle": op11_merkle,
 }
 
-_WORDS = r"list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), x -> x <> '')"
+_WORDS = r"list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
 
 ORACLE = {
     "op3_passages": rf"""
@@ -132,4 +152,5 @@ WITH n AS (
 SELECT doc_id, min(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
   doc_id = min(doc_id) OVER g AS kept, h AS text_sha256
 FROM n WINDOW g AS (PARTITION BY h)""",
+    "op11_merkle": sql.MERKLE,
 }
