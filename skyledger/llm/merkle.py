@@ -264,9 +264,8 @@ def manifest(
 
 def proofs(made: Manifest) -> DataFrame:
     """Per leaf: tree, doc_id, pos, h, carried columns, subroot and its path to the root."""
-    spark = made.top.roots.sparkSession
-    none = spark.range(1).select(
-        F.lit("").alias("tree"),
+    none = made.top.roots.select(
+        "tree",
         F.lit(b"").alias("siblings"),
         F.array().cast("array<int>").alias("places"),
         F.array().cast("array<int>").alias("runs"),

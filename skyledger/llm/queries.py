@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm import merkle, mixing, outliers, pii, secret_scan, sql, toxicity
+from skyledger.llm import conversation_trie, merkle, mixing, outliers, pii, secret_scan, sql, toxicity
 from skyledger.llm.bpe import encode_documents
-from skyledger.llm.common import read
+from skyledger.llm.common import read, stored
 from skyledger.llm.exact_dedup import exact_groups
 from skyledger.llm.language_model import language_model_scores
 from skyledger.llm.near_dedup import near_duplicates
@@ -106,6 +106,19 @@ def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumn("verified", F.col("folded_root") == F.col("root"))
 
 
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = stored(conversation_trie.turns_of(read(spark, sf_dir, "conversations")), "turns")
+    conv_id = F.col("conv_id")
+    base = turns.filter(conv_id % 100 == 0).select(
+        conv_id.alias("_base"), F.slice("turns", 1, 5).alias("_first")
+    )
+    h = (F.crc32(conv_id.cast("string")) % 6).cast("int")
+    met = turns.join(base, conv_id - conv_id % 100 == F.col("_base"), "left")
+    own = F.slice("turns", h + 1, F.greatest(F.size("turns"), F.lit(1)))
+    first = F.coalesce(F.slice("_first", F.lit(1), h), F.array().cast("array<binary>"))
+    return conversation_trie.trie(met.select("conv_id", F.concat(first, own).alias("turns")))
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_outliers": op2_outliers,
@@ -118,6 +131,7 @@ QUERIES = {
     "op9_language_model": op9_language_model,
     "op10_bpe": op10_bpe,
     "op11_merkle": op11_merkle,
+    "op12_conversation_trie": op12_conversation_trie,
 }
 
 _WORDS = r"list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
@@ -153,4 +167,5 @@ SELECT doc_id, min(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
   doc_id = min(doc_id) OVER g AS kept, h AS text_sha256
 FROM n WINDOW g AS (PARTITION BY h)""",
     "op11_merkle": sql.MERKLE,
+    "op12_conversation_trie": sql.TRIE,
 }

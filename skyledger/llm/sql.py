@@ -89,3 +89,44 @@ start AS (
 SELECT doc_id, leaf, subroot, h AS root, sha256(siblings) AS proof_sha256, folded AS folded_root,
   folded = h AS verified
 FROM b_way{LEVELS - 1}, b_roots"""
+
+TRIE = f"""
+WITH crc AS ({CRC_TABLE}),
+own AS MATERIALIZED (
+  SELECT conv_id, list({{'role': coalesce(role, ''), 'text': coalesce(text, '')}}
+    ORDER BY turn NULLS FIRST, role, text) AS turns
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+drawn AS (SELECT own.*, {crc32("conv_id")} % 6 AS h FROM own, crc),
+rebuilt AS MATERIALIZED (
+  SELECT d.conv_id, coalesce(b.turns[1:d.h], []) || d.turns[d.h + 1:] AS turns
+  FROM drawn d LEFT JOIN own b ON b.conv_id = d.conv_id - d.conv_id % 100),
+marked AS (
+  SELECT conv_id, turns, list_transform(turns, lambda t: sha256(
+    length(t.role)::VARCHAR || ':' || t.role || t.text)) AS marks FROM rebuilt),
+placed AS MATERIALIZED (
+  SELECT conv_id, unnest(range(0, len(turns) + 1)) AS depth, turns, marks FROM marked),
+members AS MATERIALIZED (
+  SELECT conv_id, depth, sha256(array_to_string(marks[1:depth], '')) AS node,
+    CASE WHEN depth > 0 THEN sha256(array_to_string(marks[1:depth - 1], '')) END AS parent,
+    CASE WHEN depth > 0 THEN length(turns[depth].text) ELSE 0 END AS tokens,
+    len(turns) = depth AS ends,
+    CASE WHEN depth > 0 THEN list_transform(range(0, depth + 1),
+      lambda k: sha256(array_to_string(marks[1:k], ''))) ELSE [sha256('')] END AS way
+  FROM placed),
+nodes AS MATERIALIZED (
+  SELECT node, depth, any_value(parent) AS parent, any_value(tokens) AS tokens, any_value(way) AS way,
+    min(conv_id) AS conv_id, count(*) AS n_convs,
+    sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE ends), ''))
+      AS ends_sha256
+  FROM members GROUP BY node, depth),
+children AS (SELECT parent AS node, count(*) AS n FROM nodes WHERE parent IS NOT NULL GROUP BY parent),
+sums AS (
+  SELECT above AS node, sum((n_convs - 1) * tokens)::BIGINT AS saved_tokens,
+    count(*) FILTER (WHERE childless) AS n_leaves
+  FROM (SELECT unnest(way) AS above, n_convs, tokens, c.n IS NULL AS childless
+        FROM nodes LEFT JOIN children c USING (node))
+  GROUP BY above)
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce(c.n, 0) AS n_children,
+  s.n_leaves, s.saved_tokens, n.ends_sha256
+FROM nodes n LEFT JOIN nodes p ON n.parent = p.node LEFT JOIN children c ON c.node = n.node
+JOIN sums s ON s.node = n.node"""
