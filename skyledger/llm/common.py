@@ -12,6 +12,7 @@ import tempfile
 import zipfile
 from collections.abc import Iterator
 from dataclasses import dataclass
+from hashlib import blake2b
 from pathlib import Path
 
 import numpy as np
@@ -31,8 +32,7 @@ LAST = np.iinfo(np.int64).max  # stands for a missing doc_id: after all others
 CHUNK_BYTES = 1 << 18
 
 _BASE = 0x9E3779B97F4A7C15
-_INVERSE = pow(_BASE, -1, 1 << 64)
-_powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+LONG_WORD = 256
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -74,16 +74,6 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _power_tables(n: int) -> list[np.ndarray]:
-    """Powers of the base and of its inverse modulo 2**64, at least ``n`` of each."""
-    if len(_powers[0]) < n:
-        for k, base in enumerate((_BASE, _INVERSE)):
-            table = np.full(n, base, np.uint64)
-            table[0] = 1
-            _powers[k] = np.cumprod(table, dtype=np.uint64)
-    return _powers
-
-
 @dataclass
 class Words:
     """The words of consecutive texts.
@@ -98,7 +88,6 @@ class Words:
     starts: np.ndarray
     ends: np.ndarray
     first: np.ndarray
-    _sums: np.ndarray | None = None
 
     def owner(self) -> np.ndarray:
         """Number of the text of each word."""
@@ -107,15 +96,29 @@ class Words:
     def counts(self) -> np.ndarray:
         return np.diff(self.first)
 
-    def hashes(self, length: int | None = None) -> np.ndarray:
-        """64-bit hash of each word, or of its first ``length`` bytes."""
-        powers, inverse = _power_tables(len(self.data) + 1)
-        if self._sums is None:
-            values = (self.data.astype(np.uint64) + np.uint64(1)) * powers[: len(self.data)]
-            self._sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(values)])
+    def hashes(self, length: int | None = None, seed: int = 0) -> np.ndarray:
+        """64-bit hash of each word, or of its first ``length`` bytes.
+
+        Eight bytes at a time are mixed into the state, for all words that have so many;
+        words over ``LONG_WORD`` bytes are hashed one by one.
+        """
         ends = self.ends if length is None else np.minimum(self.ends, self.starts + length)
-        sums = (self._sums[ends] - self._sums[self.starts]) * inverse[self.starts]
-        return mix(sums + (ends - self.starts).astype(np.uint64))
+        sizes = ends - self.starts
+        padded = np.concatenate([self.data, np.zeros(8, np.uint8)])
+        eight = np.ndarray(len(self.data) + 1, "<u8", padded, strides=(1,))
+        out = mix(sizes.astype(np.uint64) + np.uint64((seed + 1) * _BASE % (1 << 64)))
+        live, done = np.flatnonzero((sizes > 0) & (sizes <= LONG_WORD)), 0
+        while len(live):
+            left = sizes[live] - done
+            unused = 8 * np.maximum(8 - left, 0).astype(np.uint64)
+            block = eight[self.starts[live] + done] & (np.uint64(0xFFFFFFFFFFFFFFFF) >> unused)
+            out[live] = mix((out[live] ^ block) * np.uint64(_BASE))
+            live, done = live[left > 8], done + 8
+        for k in np.flatnonzero(sizes > LONG_WORD).tolist():
+            word = self.data[self.starts[k] : ends[k]].tobytes()
+            digest = blake2b(word, digest_size=8, salt=seed.to_bytes(8, "little"))
+            out[k] = int.from_bytes(digest.digest(), "little")
+        return out
 
     def grams(self, hashes: np.ndarray, size: int) -> np.ndarray:
         """Hash of ``size`` consecutive words for each first word, across texts too."""

@@ -11,6 +11,7 @@ from skyledger.llm.common import read, stored
 from skyledger.llm.exact_dedup import exact_groups
 from skyledger.llm.language_model import language_model_scores
 from skyledger.llm.near_dedup import near_duplicates
+from skyledger.llm.ngram_join import similar_documents
 from skyledger.llm.passages import remove_repeated_passages
 
 
@@ -119,6 +120,10 @@ def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_trie.trie(met.select("conv_id", F.concat(first, own).alias("turns")))
 
 
+def op13_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar_documents(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_outliers": op2_outliers,
@@ -132,6 +137,7 @@ QUERIES = {
     "op10_bpe": op10_bpe,
     "op11_merkle": op11_merkle,
     "op12_conversation_trie": op12_conversation_trie,
+    "op13_ngram_join": op13_ngram_join,
 }
 
 _WORDS = r"list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
@@ -168,4 +174,5 @@ SELECT doc_id, min(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
 FROM n WINDOW g AS (PARTITION BY h)""",
     "op11_merkle": sql.MERKLE,
     "op12_conversation_trie": sql.TRIE,
+    "op13_ngram_join": sql.joined(4, 85, ""),
 }

@@ -130,3 +130,31 @@ SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce(c.n,
   s.n_leaves, s.saved_tokens, n.ends_sha256
 FROM nodes n LEFT JOIN nodes p ON n.parent = p.node LEFT JOIN children c ON c.node = n.node
 JOIN sums s ON s.node = n.node"""
+
+
+def joined(shingle: int, percent: int, more: str) -> str:
+    """Components of documents whose shingle sets have a Jaccard similarity of ``percent``."""
+    return rf"""
+WITH RECURSIVE docs AS MATERIALIZED (
+  SELECT doc_id, list_filter(string_split_regex(
+    translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words
+  FROM documents),
+grams AS MATERIALIZED (
+  SELECT DISTINCT doc_id, gram FROM (
+    SELECT doc_id, unnest(list_transform(range(1, greatest(len(words) - {shingle - 2}, 2)),
+      lambda p: array_to_string(words[p:p + {shingle - 1}], ' '))) AS gram
+    FROM docs WHERE len(words) > 0)),
+sizes AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
+links AS MATERIALIZED (
+  SELECT x.doc_id AS a, y.doc_id AS b
+  FROM grams x JOIN grams y ON x.gram = y.gram AND x.doc_id <> y.doc_id
+  JOIN sizes s ON s.doc_id = x.doc_id JOIN sizes t ON t.doc_id = y.doc_id
+  GROUP BY x.doc_id, y.doc_id, s.n, t.n
+  HAVING 100 * count(*) >= {percent} * (s.n + t.n - count(*))),
+reach(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM docs
+  UNION
+  SELECT r.doc_id, l.b FROM reach r JOIN links l ON l.a = r.other)
+SELECT d.doc_id, coalesce(any_value(n), 0) AS n_shingles, min(other) AS component_id{more}
+FROM docs d LEFT JOIN sizes s ON s.doc_id = d.doc_id JOIN reach r ON r.doc_id = d.doc_id
+GROUP BY d.doc_id"""
