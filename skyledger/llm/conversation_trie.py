@@ -107,35 +107,39 @@ def _ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield row(group, digest)
 
 
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _blocks(most_rows: int):
     """Sorted rows of a partition as blocks; each knows its neighbours in the partition."""
     names = ["keys", "ids", "counts", "ends"]
-    waiting, before, seq, part = None, None, 0, None
 
-    def row(columns: list[list], after: bytes | None) -> pa.RecordBatch:
-        kinds = (pa.binary(), pa.int64(), pa.int64(), pa.string())
-        data = [pa.array([c], pa.list_(k)) for c, k in zip(columns, kinds, strict=True)]
-        ends = [pa.array([x], pa.binary()) for x in (before, after)]
-        place = [pa.array([part], pa.int32()), pa.array([seq], pa.int64()), pa.array([after is None])]
-        return pa.RecordBatch.from_arrays(
-            [*place, *data, *ends], names=["part", "seq", "last", *names, "before", "after"]
-        )
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting, before, seq, part = None, None, 0, None
 
-    for batch in batches:
-        at = 0
-        sizes = np.cumsum(pc.binary_length(batch["key"]).to_numpy(zero_copy_only=False).astype(np.int64))
-        while at < batch.num_rows:
-            used = sizes[at - 1] if at else 0
-            to = max(at + 1, int(np.searchsorted(sizes, used + BLOCK_BYTES, "right")))
-            to = min(to, at + BLOCK_ROWS, batch.num_rows)
-            piece = batch.slice(at, to - at)
-            columns = [piece[c].to_pylist() for c in ("key", "conv_id", "n", "ends")]
-            if waiting is not None:
-                yield row(waiting, columns[0][0])
-                before, seq = waiting[0][-1], seq + 1
-            waiting, part, at = columns, piece["part"][0].as_py(), to
-    if waiting is not None:
-        yield row(waiting, None)
+        def row(columns: list[list], after: bytes | None) -> pa.RecordBatch:
+            kinds = (pa.binary(), pa.int64(), pa.int64(), pa.string())
+            data = [pa.array([c], pa.list_(k)) for c, k in zip(columns, kinds, strict=True)]
+            ends = [pa.array([x], pa.binary()) for x in (before, after)]
+            place = [pa.array([part], pa.int32()), pa.array([seq], pa.int64()), pa.array([after is None])]
+            return pa.RecordBatch.from_arrays(
+                [*place, *data, *ends], names=["part", "seq", "last", *names, "before", "after"]
+            )
+
+        for batch in batches:
+            at = 0
+            sizes = np.cumsum(pc.binary_length(batch["key"]).to_numpy(zero_copy_only=False).astype(np.int64))
+            while at < batch.num_rows:
+                used = sizes[at - 1] if at else 0
+                to = max(at + 1, int(np.searchsorted(sizes, used + BLOCK_BYTES, "right")))
+                to = min(to, at + most_rows, batch.num_rows)
+                piece = batch.slice(at, to - at)
+                columns = [piece[c].to_pylist() for c in ("key", "conv_id", "n", "ends")]
+                if waiting is not None:
+                    yield row(waiting, columns[0][0])
+                    before, seq = waiting[0][-1], seq + 1
+                waiting, part, at = columns, piece["part"][0].as_py(), to
+        if waiting is not None:
+            yield row(waiting, None)
+
+    return run
 
 
 def shared(a: bytes, b: bytes) -> int:
@@ -297,7 +301,7 @@ def sorted_blocks(classes: DataFrame) -> DataFrame:
         classes.repartitionByRange("key")
         .sortWithinPartitions("key")
         .withColumn("part", F.spark_partition_id())
-        .mapInArrow(_blocks, BLOCK),
+        .mapInArrow(_blocks(BLOCK_ROWS), BLOCK),
         "blocks",
     )
     heads = blocks.filter("seq = 0").select("part", F.get("keys", F.lit(0)).alias("head"))

@@ -14,14 +14,18 @@ sets form a class; only classes go on, so a large group of copies is one row.
   band and for the one below. Where a set fills at most D groups, it adds its first
   D + 1 shingles in hash order, among which linked sets of this kind must share one.
   So every linked pair shares a bucket; nothing is left to chance.
-* *Stars.* Each class is paired with the least class of each of its buckets, which connects
-  a group of near copies by about one pair each. Buckets with the same members are one.
-* *R-trees.* What is then still apart in a bucket of three or more is cut into blocks; in a task
-  each block's points are packed into R-trees, whose boxes (largest counts, least size) are
-  descended in pairs as long as the bound allows a link. Surviving pairs of different
-  components are verified on the full sets; only links leave the task.
-
-Stars and blocks take whole buckets: there is no cap. A pair bound for the same component
+* *Clusters.* Each class is tied to the least class of each of its buckets; what is tied
+  together, by ids alone, is a cluster, and no link leaves a cluster. A cluster of at most
+  ``BLOCK`` classes and ``SHINGLES`` shingles goes to one task.
+* *R-trees.* In the task the points are packed into an R-tree, whose boxes (largest counts,
+  least size) are descended in pairs as long as the bound allows a link. Surviving pairs
+  of different components are verified on the full sets.
+* *Larger clusters* are taken bucket by bucket: ties are verified first, which connects a
+  group of near copies by a few pairs each. Buckets of three or more that still hold
+  several components are cut into blocks, and every two blocks of a bucket meet in a task
+  as above; only links leave it.
+
+Every size is treated exactly: there is no cap. A pair bound for one component
 needs no verification, which is why links are not counted: a group of N near copies has
 N * N of them. A bucket of N classes that do not link costs N * N bounds, in blocks.
 
@@ -34,6 +38,7 @@ empty table has no rows; other columns are left out.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -46,7 +51,7 @@ from skyledger.llm.near_dedup import components
 
 SHINGLE, PERCENT, GROUPS = 4, 85, 64
 LEAF, FAN = 32, 8  # points in a leaf, boxes in a node
-BLOCK, SLICE = 2048, 1 << 13
+BLOCK, SHINGLES, SLICE = 2048, 1 << 22, 1 << 13
 
 POINT = "doc_id bigint, n_shingles bigint, class binary, counts array<int>, signatures array<bigint>"
 _GROUP_SEED, _POINT_SEED, _ORDER_SEED = (
@@ -247,9 +252,10 @@ def pairs_below(a: CountTree, b: CountTree) -> Iterator[tuple[np.ndarray, np.nda
 
 
 def links_of_block(
-    one: np.ndarray, two: np.ndarray, counts: np.ndarray, component: np.ndarray, grams: list[np.ndarray]
-) -> list[tuple[int, int]]:
-    """Links that connect different components among rows ``one`` and ``two`` of a block.
+    one: np.ndarray, two: np.ndarray, counts: np.ndarray, grams: list[np.ndarray], component: np.ndarray
+) -> tuple[list[tuple[int, int]], np.ndarray]:
+    """Links that connect different components among rows ``one`` and ``two`` of a block,
+    and the rows' labels when these links are drawn.
 
     ``two`` is ``one`` itself for a block on the diagonal. Later links of components
     that an earlier link has connected are left out.
@@ -273,44 +279,59 @@ def links_of_block(
             if label[x] != label[y] and linked(len(full(x) & full(y)), sizes[x], sizes[y]):
                 label[label == label[x]] = label[y]
                 found.append((x, y))
-    return found
+    return found, label
 
 
-def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Links of the blocks, which arrive sorted, one block after another."""
-
-    def of(block: list[pa.RecordBatch]) -> pa.RecordBatch:
-        table = pa.Table.from_batches(block).combine_chunks()
-        chunk, low, high = (table[c].to_numpy() for c in ("chunk", "low", "high"))
-        counts = pc.list_flatten(table["counts"]).to_numpy().reshape(-1, GROUPS)
-        ends = np.cumsum(pc.list_value_length(table["grams"]).to_numpy().astype(np.int64))
-        grams = np.split(pc.list_flatten(table["grams"]).to_numpy(), ends[:-1])
-        one, two = np.flatnonzero(chunk == low[0]), np.flatnonzero(chunk == high[0])
-        two = one if low[0] == high[0] else two
-        found = []
-        if len(one) and len(two):
-            found = links_of_block(one, two, counts, table["component"].to_numpy(), grams)
-        names = table["class"].to_numpy()
-        pairs = np.array([[names[x], names[y]] for x, y in found], np.int64).reshape(-1, 2)
-        columns = [pa.array(pairs.min(axis=1) if len(pairs) else pairs[:, 0])]
-        columns.append(pa.array(pairs.max(axis=1) if len(pairs) else pairs[:, 0]))
-        return pa.RecordBatch.from_arrays(columns, names=["a", "b"])
-
-    open_block, open_key = [], None
+def _sorted_groups(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[pa.Table]:
+    """The rows of each group, one group after another, from rows sorted by ``names``."""
+    waiting, last = [], None
     for batch in batches:
         if not batch.num_rows:
             continue
-        keys = np.stack([batch[c].to_numpy() for c in ("bucket", "other", "low", "high")])
+        keys = np.stack([batch[c].to_numpy() for c in names])
         cuts = [0, *(np.flatnonzero((np.diff(keys) != 0).any(axis=0)) + 1).tolist(), batch.num_rows]
-        for lo, hi in zip(cuts, cuts[1:], strict=False):
+        for lo, hi in pairwise(cuts):
             key = tuple(keys[:, lo].tolist())
-            if key != open_key and open_block:
-                yield of(open_block)
-                open_block = []
-            open_block.append(batch.slice(lo, hi - lo))
-            open_key = key
-    if open_block:
-        yield of(open_block)
+            if key != last and waiting:
+                yield pa.Table.from_batches(waiting).combine_chunks()
+                waiting = []
+            waiting.append(batch.slice(lo, hi - lo))
+            last = key
+    if waiting:
+        yield pa.Table.from_batches(waiting).combine_chunks()
+
+
+def _content(table: pa.Table) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Points and full sets of a group's rows."""
+    counts = pc.list_flatten(table["counts"]).to_numpy().reshape(-1, GROUPS)
+    ends = np.cumsum(pc.list_value_length(table["grams"]).to_numpy().astype(np.int64))
+    return counts, np.split(pc.list_flatten(table["grams"]).to_numpy(), ends[:-1])
+
+
+def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links (a, b) of the blocks."""
+    for table in _sorted_groups(batches, ["bucket", "other", "low", "high"]):
+        chunk, low, high = (table[c].to_numpy() for c in ("chunk", "low", "high"))
+        one, two = np.flatnonzero(chunk == low[0]), np.flatnonzero(chunk == high[0])
+        if len(one) and len(two):
+            two = one if low[0] == high[0] else two
+            found, _ = links_of_block(one, two, *_content(table), table["component"].to_numpy())
+            names = table["class"].to_numpy()
+            pairs = np.sort(names[np.array(found, np.int64).reshape(-1, 2)], axis=1)
+            columns = [pa.array(pairs[:, k].copy()) for k in (0, 1)]
+            yield pa.RecordBatch.from_arrays(columns, names=["a", "b"])
+
+
+def _components_of_clusters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(class, component) of whole clusters."""
+    for table in _sorted_groups(batches, ["cluster"]):
+        names = table["class"].to_numpy()
+        everyone = np.arange(len(names))
+        _, label = links_of_block(everyone, everyone, *_content(table), names)
+        least = np.full(label.max() + 1, np.iinfo(np.int64).max)
+        np.minimum.at(least, label, names)
+        columns = [pa.array(names), pa.array(least[label])]
+        yield pa.RecordBatch.from_arrays(columns, names=["class", "component"])
 
 
 def _buckets(classes: DataFrame) -> DataFrame:
@@ -353,30 +374,69 @@ def _confirmed(pairs: DataFrame, classes: DataFrame, sets: DataFrame) -> DataFra
 def _in_blocks(buckets: DataFrame, classes: DataFrame, sets: DataFrame) -> DataFrame:
     """Links between the components that are still apart in a bucket."""
     bucket = ["bucket", "other"]
-    split = buckets.groupBy(*bucket).agg(
-        F.min("component").alias("_low"), F.max("component").alias("_high")
+    known = buckets.filter("n > 2").join(classes.select("class", "n_shingles", "counts"), "class")
+    sizes = known.groupBy(*bucket).agg(
+        F.min("component").alias("_low"),
+        F.max("component").alias("_high"),
+        F.greatest(F.count(F.lit(1)) / BLOCK, F.sum("n_shingles") / SHINGLES).alias("_blocks"),
     )
-    still = buckets.filter("n > 2").join(split.filter("_low != _high").select(*bucket), bucket)
-    chunks = F.ceil(F.col("n") / BLOCK).cast("int")
+    still = known.join(sizes.filter("_low != _high").select(*bucket, "_blocks"), bucket)
+    chunks = F.ceil("_blocks").cast("int")
     dealt = still.select(
         *bucket,
         "class",
         "component",
+        "counts",
         F.pmod(F.xxhash64("class", F.lit(2)), chunks).cast("int").alias("chunk"),
         F.explode(F.sequence(F.lit(0), chunks - 1)).alias("_other"),
     )
-    block = [
-        *bucket,
-        F.least("chunk", "_other").alias("low"),
-        F.greatest("chunk", "_other").alias("high"),
-    ]
-    rows = dealt.select(*block, "chunk", "class", "component")
-    keys = ["bucket", "other", "low", "high"]
-    full = rows.join(classes.select("class", "counts"), "class").join(sets, "class")
-    together = full.repartition(*keys).sortWithinPartitions(*keys)
+    rows = dealt.withColumns(
+        {"low": F.least("chunk", "_other"), "high": F.greatest("chunk", "_other")}
+    ).drop("_other")
+    keys = [*bucket, "low", "high"]
+    together = rows.join(sets, "class").repartition(*keys).sortWithinPartitions(*keys)
     return stored(together.mapInArrow(_links, "a bigint, b bigint").distinct(), "links")
 
 
+def _in_large_clusters(buckets: DataFrame, classes: DataFrame, sets: DataFrame) -> DataFrame:
+    """(class, component) of linked classes: ties first, then what is left of the buckets."""
+    pairs = buckets.filter("class != star").select(F.col("star").alias("a"), F.col("class").alias("b"))
+    links = _confirmed(pairs.distinct(), classes, sets)
+    found = components(links)
+    placed = buckets.join(found, "class", "left").withColumn(
+        "component", F.coalesce("component", "class")
+    )
+    more = _in_blocks(placed, classes, sets)
+    return found if more.isEmpty() else components(stored(links.unionByName(more), "links"))
+
+
+def _placed(classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """(class, component) of the classes that are linked, and of others that share a bucket."""
+    buckets = stored(_buckets(classes), "buckets")
+    ties = buckets.filter("class != star").select(F.col("star").alias("a"), F.col("class").alias("b"))
+    tied = components(stored(ties.distinct(), "ties")).withColumnRenamed("component", "cluster")
+    sets = stored(_sets_of(tied.select("class"), classes, docs), "sets")
+    known = tied.join(classes.select("class", "n_shingles"), "class")
+    small = (F.count(F.lit(1)) <= BLOCK) & (F.sum("n_shingles") <= SHINGLES)
+    sizes = stored(known.groupBy("cluster").agg(small.alias("small")), "clusters")
+    rows = tied.join(sizes.filter("small").select("cluster"), "cluster")
+    found = (
+        rows.join(classes.select("class", "counts"), "class")
+        .join(sets, "class")
+        .repartition("cluster")
+        .sortWithinPartitions("cluster")
+        .mapInArrow(_components_of_clusters, "class bigint, component bigint")
+    )
+    large = sizes.filter("not small").select("cluster")
+    if large.isEmpty():
+        return found
+    members = stored(tied.join(large, "cluster").select("class"), "members")
+    rest = _in_large_clusters(
+        stored(buckets.join(members, "class"), "large"), classes, sets.join(members, "class")
+    )
+    return found.unionByName(rest)
+
+
 def _sets_of(wanted: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
     """(class, grams) of the ``wanted`` classes, made anew from one text of each."""
     crowded = classes.join(wanted, "class", "left_semi").select("class", "key", "min_id")
@@ -403,18 +463,7 @@ def similar_documents(docs: DataFrame) -> DataFrame:
         .withColumn("class", F.monotonically_increasing_id()),
         "classes",
     )
-    buckets = stored(_buckets(classes), "buckets")
-    sets = stored(_sets_of(buckets.select("class").distinct(), classes, docs), "sets")
-    pairs = buckets.filter("class != star").select(F.col("star").alias("a"), F.col("class").alias("b"))
-    links = _confirmed(pairs.distinct(), classes, sets)
-    found = components(links)
-    placed = buckets.join(found, "class", "left").withColumn(
-        "component", F.coalesce("component", "class")
-    )
-    more = _in_blocks(placed, classes, sets)
-    if not more.isEmpty():
-        found = components(stored(links.unionByName(more), "links"))
-
+    found = _placed(classes, docs)
     by_class = classes.select("class", "key", "min_id").join(found, "class", "left").select(
         "key", "min_id", F.coalesce("component", "class").alias("component")
     )
