@@ -15,15 +15,16 @@ sets form a class; only classes go on, so a large group of copies is one row.
   D + 1 shingles in hash order, among which linked sets of this kind must share one.
   So every linked pair shares a bucket; nothing is left to chance.
 * *Clusters.* Each class is tied to the least class of each of its buckets; what is tied
-  together, by ids alone, is a cluster, and no link leaves a cluster. A cluster of at most
-  ``BLOCK`` classes and ``SHINGLES`` shingles goes to one task.
-* *R-trees.* In the task the points are packed into an R-tree, whose boxes (largest counts,
+  together, by ids alone, is a cluster, and no link leaves a cluster. Clusters are cut into
+  blocks of about ``BLOCK`` classes and ``SHINGLES`` shingles, and every two blocks meet
+  in a task; most clusters are one block.
+* *R-trees.* In the task the points are packed into R-trees, whose boxes (largest counts,
   least size) are descended in pairs as long as the bound allows a link. Surviving pairs
-  of different components are verified on the full sets.
-* *Larger clusters* are taken bucket by bucket: ties are verified first, which connects a
-  group of near copies by a few pairs each. Buckets of three or more that still hold
-  several components are cut into blocks, and every two blocks of a bucket meet in a task
-  as above; only links leave it.
+  of different components are verified on the full sets; only links leave the task.
+* *Wide clusters*, those of more blocks than a class has buckets, are taken by their buckets:
+  ties are verified first, which connects a group of near copies by a few pairs each.
+  Then the buckets of three or more that still hold several components are cut into
+  blocks instead of the cluster.
 
 Every size is treated exactly: there is no cap. A pair bound for one component
 needs no verification, which is why links are not counted: a group of N near copies has
@@ -47,13 +48,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from skyledger.llm.common import Words, chunked_words, mix, stored
-from skyledger.llm.near_dedup import components
 
 SHINGLE, PERCENT, GROUPS = 4, 85, 64
 LEAF, FAN = 32, 8  # points in a leaf, boxes in a node
 BLOCK, SHINGLES, SLICE = 2048, 1 << 22, 1 << 13
 
 POINT = "doc_id bigint, n_shingles bigint, class binary, counts array<int>, signatures array<bigint>"
+BLOCK_KEY = ["bucket", "other", "low", "high"]
 _GROUP_SEED, _POINT_SEED, _ORDER_SEED = (
     np.uint64(x) for x in (0x8CB92BA72F3D8DD7, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
 )
@@ -106,11 +107,11 @@ def band_signatures(values: np.ndarray, sizes: np.ndarray, band: np.ndarray) ->
     place = (taken - base[:-1][of[taken]]).astype(np.uint64) + (band[of[taken]].astype(np.uint64) << np.uint64(40))
     sets, signatures = [of[taken]], [mix(sums[taken] ^ mix(place ^ _GROUP_SEED))]
     n_filled = np.bincount(of[filled], minlength=len(sizes))
-    ends = np.cumsum(sizes)
+    ends, marks = np.cumsum(sizes), mix(band.astype(np.uint64) ^ _POINT_SEED)
     for k in np.flatnonzero((n_filled <= least) & (least > 0) & (sizes > 0)).tolist():
         few = np.sort(mix(values[ends[k] - sizes[k] : ends[k]] ^ _ORDER_SEED))[: least[k] + 1]
         sets.append(np.full(len(few), k))
-        signatures.append(mix(few ^ mix(np.uint64(band[k]) ^ _POINT_SEED)))
+        signatures.append(mix(few ^ marks[k]))
     return np.concatenate(sets), np.concatenate(signatures)
 
 
@@ -253,9 +254,8 @@ def pairs_below(a: CountTree, b: CountTree) -> Iterator[tuple[np.ndarray, np.nda
 
 def links_of_block(
     one: np.ndarray, two: np.ndarray, counts: np.ndarray, grams: list[np.ndarray], component: np.ndarray
-) -> tuple[list[tuple[int, int]], np.ndarray]:
-    """Links that connect different components among rows ``one`` and ``two`` of a block,
-    and the rows' labels when these links are drawn.
+) -> list[tuple[int, int]]:
+    """Links that connect different components among rows ``one`` and ``two`` of a block.
 
     ``two`` is ``one`` itself for a block on the diagonal. Later links of components
     that an earlier link has connected are left out.
@@ -279,7 +279,7 @@ def links_of_block(
             if label[x] != label[y] and linked(len(full(x) & full(y)), sizes[x], sizes[y]):
                 label[label == label[x]] = label[y]
                 found.append((x, y))
-    return found, label
+    return found
 
 
 def _sorted_groups(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[pa.Table]:
@@ -310,30 +310,18 @@ def _content(table: pa.Table) -> tuple[np.ndarray, list[np.ndarray]]:
 
 def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Links (a, b) of the blocks."""
-    for table in _sorted_groups(batches, ["bucket", "other", "low", "high"]):
+    for table in _sorted_groups(batches, BLOCK_KEY):
         chunk, low, high = (table[c].to_numpy() for c in ("chunk", "low", "high"))
         one, two = np.flatnonzero(chunk == low[0]), np.flatnonzero(chunk == high[0])
         if len(one) and len(two):
             two = one if low[0] == high[0] else two
-            found, _ = links_of_block(one, two, *_content(table), table["component"].to_numpy())
+            found = links_of_block(one, two, *_content(table), table["component"].to_numpy())
             names = table["class"].to_numpy()
             pairs = np.sort(names[np.array(found, np.int64).reshape(-1, 2)], axis=1)
             columns = [pa.array(pairs[:, k].copy()) for k in (0, 1)]
             yield pa.RecordBatch.from_arrays(columns, names=["a", "b"])
 
 
-def _components_of_clusters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(class, component) of whole clusters."""
-    for table in _sorted_groups(batches, ["cluster"]):
-        names = table["class"].to_numpy()
-        everyone = np.arange(len(names))
-        _, label = links_of_block(everyone, everyone, *_content(table), names)
-        least = np.full(label.max() + 1, np.iinfo(np.int64).max)
-        np.minimum.at(least, label, names)
-        columns = [pa.array(names), pa.array(least[label])]
-        yield pa.RecordBatch.from_arrays(columns, names=["class", "component"])
-
-
 def _buckets(classes: DataFrame) -> DataFrame:
     """(bucket, other, class, star, n): the members of buckets of two or more classes.
 
@@ -371,70 +359,105 @@ def _confirmed(pairs: DataFrame, classes: DataFrame, sets: DataFrame) -> DataFra
     )
 
 
-def _in_blocks(buckets: DataFrame, classes: DataFrame, sets: DataFrame) -> DataFrame:
-    """Links between the components that are still apart in a bucket."""
-    bucket = ["bucket", "other"]
-    known = buckets.filter("n > 2").join(classes.select("class", "n_shingles", "counts"), "class")
-    sizes = known.groupBy(*bucket).agg(
-        F.min("component").alias("_low"),
-        F.max("component").alias("_high"),
-        F.greatest(F.count(F.lit(1)) / BLOCK, F.sum("n_shingles") / SHINGLES).alias("_blocks"),
-    )
-    still = known.join(sizes.filter("_low != _high").select(*bucket, "_blocks"), bucket)
-    chunks = F.ceil("_blocks").cast("int")
-    dealt = still.select(
-        *bucket,
+def components(links: DataFrame) -> DataFrame:
+    """(class, component): the least class reachable, for every class with a link (a, b).
+
+    Each round every class goes over to its least neighbour, and that to its own; the
+    links are redrawn between what is left, at most half of the classes. So the rounds'
+    work shrinks, and their maps are chained at the end.
+    """
+    maps = []
+    while not links.isEmpty():
+        ends = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        near = ends.groupBy(F.col("a").alias("class")).agg(F.min("b").alias("near"))
+        step = stored(near.select("class", F.least("class", "near").alias("to")), "steps")
+        following = step.select(F.col("class").alias("to"), F.col("to").alias("far"))
+        maps.append(stored(step.join(following, "to").select("class", F.col("far").alias("to")), "map"))
+        of_a, of_b = (maps[-1].select(F.col("class").alias(x), F.col("to").alias(f"to_{x}")) for x in "ab")
+        moved = links.join(of_a, "a").join(of_b, "b").filter("to_a != to_b")
+        low, high = F.least("to_a", "to_b"), F.greatest("to_a", "to_b")
+        links = stored(moved.select(low.alias("a"), high.alias("b")).distinct(), "links")
+    if not maps:
+        return links.select(F.col("a").alias("class"), F.col("b").alias("component"))
+    found = maps.pop().withColumnRenamed("to", "component")
+    while maps:
+        upper = found.select(F.col("class").alias("to"), "component")
+        found = maps.pop().join(upper, "to", "left").select("class", F.coalesce("component", "to").alias("component"))
+    return stored(found, "components")
+
+
+def _links_in_blocks(members: DataFrame, classes: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links between components in groups of ``members``: bucket, other, class, component, blocks."""
+    blocks = F.col("blocks")
+    dealt = members.select(
+        "bucket",
+        "other",
         "class",
         "component",
-        "counts",
-        F.pmod(F.xxhash64("class", F.lit(2)), chunks).cast("int").alias("chunk"),
-        F.explode(F.sequence(F.lit(0), chunks - 1)).alias("_other"),
+        F.pmod(F.xxhash64("class", F.lit(2)), blocks).cast("int").alias("chunk"),
+        F.explode(F.sequence(F.lit(0), blocks - 1)).alias("_second"),
     )
     rows = dealt.withColumns(
-        {"low": F.least("chunk", "_other"), "high": F.greatest("chunk", "_other")}
-    ).drop("_other")
-    keys = [*bucket, "low", "high"]
-    together = rows.join(sets, "class").repartition(*keys).sortWithinPartitions(*keys)
-    return stored(together.mapInArrow(_links, "a bigint, b bigint").distinct(), "links")
+        {"low": F.least("chunk", "_second"), "high": F.greatest("chunk", "_second")}
+    ).drop("_second")
+    content = classes.select("class", "counts").join(sets, "class")
+    together = rows.join(content, "class").repartition(*BLOCK_KEY).sortWithinPartitions(*BLOCK_KEY)
+    return together.mapInArrow(_links, "a bigint, b bigint").distinct()
 
 
-def _in_large_clusters(buckets: DataFrame, classes: DataFrame, sets: DataFrame) -> DataFrame:
-    """(class, component) of linked classes: ties first, then what is left of the buckets."""
+def _links_of_buckets(buckets: DataFrame, classes: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links that connect what is linked: the ties first, then what is left in the buckets."""
     pairs = buckets.filter("class != star").select(F.col("star").alias("a"), F.col("class").alias("b"))
     links = _confirmed(pairs.distinct(), classes, sets)
-    found = components(links)
-    placed = buckets.join(found, "class", "left").withColumn(
+    placed = buckets.join(components(links), "class", "left").withColumn(
         "component", F.coalesce("component", "class")
     )
-    more = _in_blocks(placed, classes, sets)
-    return found if more.isEmpty() else components(stored(links.unionByName(more), "links"))
+    open_ = (
+        placed.filter("n > 2")
+        .groupBy("bucket", "other")
+        .agg(F.min("component").alias("_low"), F.max("component").alias("_high"))
+        .filter("_low != _high")
+        .select("bucket", "other")
+    )
+    still = placed.filter("n > 2").join(open_, ["bucket", "other"])
+    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    return links.unionByName(_links_in_blocks(still.withColumn("blocks", blocks), classes, sets))
 
 
-def _placed(classes: DataFrame, docs: DataFrame) -> DataFrame:
-    """(class, component) of the classes that are linked, and of others that share a bucket."""
-    buckets = stored(_buckets(classes), "buckets")
+def clusters_of(buckets: DataFrame, classes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(class, cluster), and per cluster its blocks and whether it is wide."""
     ties = buckets.filter("class != star").select(F.col("star").alias("a"), F.col("class").alias("b"))
     tied = components(stored(ties.distinct(), "ties")).withColumnRenamed("component", "cluster")
-    sets = stored(_sets_of(tied.select("class"), classes, docs), "sets")
-    known = tied.join(classes.select("class", "n_shingles"), "class")
-    small = (F.count(F.lit(1)) <= BLOCK) & (F.sum("n_shingles") <= SHINGLES)
-    sizes = stored(known.groupBy("cluster").agg(small.alias("small")), "clusters")
-    rows = tied.join(sizes.filter("small").select("cluster"), "cluster")
-    found = (
-        rows.join(classes.select("class", "counts"), "class")
-        .join(sets, "class")
-        .repartition("cluster")
-        .sortWithinPartitions("cluster")
-        .mapInArrow(_components_of_clusters, "class bigint, component bigint")
+    cost = buckets.groupBy("class").agg(F.sum(F.ceil(F.col("n") / BLOCK)).alias("rows"))
+    known = tied.join(cost, "class").join(classes.select("class", "n_shingles"), "class")
+    n = F.count(F.lit(1))
+    blocks = F.ceil(F.greatest(n / BLOCK, F.sum("n_shingles") / SHINGLES)).cast("int")
+    sizes = known.groupBy("cluster").agg(
+        n.alias("n"), blocks.alias("blocks"), (n * blocks > F.greatest(n, F.sum("rows"))).alias("wide")
     )
-    large = sizes.filter("not small").select("cluster")
-    if large.isEmpty():
-        return found
-    members = stored(tied.join(large, "cluster").select("class"), "members")
-    rest = _in_large_clusters(
-        stored(buckets.join(members, "class"), "large"), classes, sets.join(members, "class")
+    return tied, stored(sizes, "clusters")
+
+
+def _placed(classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """(class, component) of the classes that are linked."""
+    buckets = stored(_buckets(classes), "buckets")
+    tied, sizes = clusters_of(buckets, classes)
+    sets = stored(_sets_of(tied.select("class"), classes, docs), "sets")
+    members = tied.join(sizes.filter("not wide"), "cluster").select(
+        F.col("cluster").alias("bucket"),
+        F.lit(0).cast("bigint").alias("other"),
+        "class",
+        F.col("class").alias("component"),
+        "blocks",
     )
-    return found.unionByName(rest)
+    links = stored(_links_in_blocks(members, classes, sets), "links")
+    wide = sizes.filter("wide").select("cluster")
+    if not wide.isEmpty():
+        within = stored(tied.join(wide, "cluster").select("class"), "wide")
+        own = stored(buckets.join(within, "class", "left_semi"), "wide_buckets")
+        more = _links_of_buckets(own, classes, sets.join(within, "class", "left_semi"))
+        links = stored(links.unionByName(more), "links")
+    return components(links)
 
 
 def _sets_of(wanted: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
