@@ -90,9 +90,14 @@ def shingle_sets(words: Words) -> list[tuple[np.ndarray, bytes | None]]:
 
 
 def band_signatures(values: np.ndarray, sizes: np.ndarray, band: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(set, signature) for sets laid end to end in ``values``, one band for each set."""
-    least = np.where(band >= 0, BAND_DIFFERENCES[band], 0)
-    groups = np.where(least > 0, least + 3 + least // 16, 1)
+    """(set, signature) for sets laid end to end in ``values``, one band for each set.
+
+    A set's pairs in the band differ in no more shingles than the band allows, nor in
+    more than 3/17 of its own.
+    """
+    most = np.where(band >= 0, BAND_DIFFERENCES[band], 0)
+    least = np.minimum(most, 3 * sizes // 17)
+    groups = np.where(most > 0, most + 3 + most // 16, 1)
     owner = np.repeat(np.arange(len(sizes)), sizes)
     base = np.concatenate([[0], np.cumsum(groups)])
     spread = mix(values ^ _GROUP_SEED)
@@ -386,8 +391,11 @@ def components(links: DataFrame) -> DataFrame:
     return stored(found, "components")
 
 
-def _links_in_blocks(members: DataFrame, classes: DataFrame, sets: DataFrame) -> DataFrame:
-    """Links between components in groups of ``members``: bucket, other, class, component, blocks."""
+def _links_in_blocks(members: DataFrame, classes: DataFrame, grams: DataFrame) -> DataFrame:
+    """Links between components in groups of ``members``: bucket, other, class, component, blocks.
+
+    The full sets are moved twice: by key, to find their blocks, and to the blocks.
+    """
     blocks = F.col("blocks")
     dealt = members.select(
         "bucket",
@@ -400,13 +408,15 @@ def _links_in_blocks(members: DataFrame, classes: DataFrame, sets: DataFrame) ->
     rows = dealt.withColumns(
         {"low": F.least("chunk", "_second"), "high": F.greatest("chunk", "_second")}
     ).drop("_second")
-    content = classes.select("class", "counts").join(sets, "class")
-    together = rows.join(content, "class").repartition(*BLOCK_KEY).sortWithinPartitions(*BLOCK_KEY)
+    named = rows.join(classes.select("class", "key", "counts"), "class")
+    together = named.join(grams, "key").drop("key")
+    together = together.repartition(*BLOCK_KEY).sortWithinPartitions(*BLOCK_KEY)
     return together.mapInArrow(_links, "a bigint, b bigint").distinct()
 
 
-def _links_of_buckets(buckets: DataFrame, classes: DataFrame, sets: DataFrame) -> DataFrame:
+def _links_of_buckets(buckets: DataFrame, classes: DataFrame, grams: DataFrame) -> DataFrame:
     """Links that connect what is linked: the ties first, then what is left in the buckets."""
+    sets = classes.select("class", "key").join(grams, "key").select("class", "grams")
     pairs = buckets.filter("class != star").select(F.col("star").alias("a"), F.col("class").alias("b"))
     links = _confirmed(pairs.distinct(), classes, sets)
     placed = buckets.join(components(links), "class", "left").withColumn(
@@ -421,7 +431,7 @@ def _links_of_buckets(buckets: DataFrame, classes: DataFrame, sets: DataFrame) -
     )
     still = placed.filter("n > 2").join(open_, ["bucket", "other"])
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    return links.unionByName(_links_in_blocks(still.withColumn("blocks", blocks), classes, sets))
+    return links.unionByName(_links_in_blocks(still.withColumn("blocks", blocks), classes, grams))
 
 
 def clusters_of(buckets: DataFrame, classes: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -442,7 +452,6 @@ def _placed(classes: DataFrame, docs: DataFrame) -> DataFrame:
     """(class, component) of the classes that are linked."""
     buckets = stored(_buckets(classes), "buckets")
     tied, sizes = clusters_of(buckets, classes)
-    sets = stored(_sets_of(tied.select("class"), classes, docs), "sets")
     members = tied.join(sizes.filter("not wide"), "cluster").select(
         F.col("cluster").alias("bucket"),
         F.lit(0).cast("bigint").alias("other"),
@@ -450,25 +459,24 @@ def _placed(classes: DataFrame, docs: DataFrame) -> DataFrame:
         F.col("class").alias("component"),
         "blocks",
     )
-    links = stored(_links_in_blocks(members, classes, sets), "links")
+    links = stored(_links_in_blocks(members, classes, _grams_of(members, classes, docs)), "links")
     wide = sizes.filter("wide").select("cluster")
     if not wide.isEmpty():
         within = stored(tied.join(wide, "cluster").select("class"), "wide")
         own = stored(buckets.join(within, "class", "left_semi"), "wide_buckets")
-        more = _links_of_buckets(own, classes, sets.join(within, "class", "left_semi"))
-        links = stored(links.unionByName(more), "links")
+        grams = stored(_grams_of(within, classes, docs), "wide_sets")
+        links = stored(links.unionByName(_links_of_buckets(own, classes, grams)), "links")
     return components(links)
 
 
-def _sets_of(wanted: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
-    """(class, grams) of the ``wanted`` classes, made anew from one text of each."""
-    crowded = classes.join(wanted, "class", "left_semi").select("class", "key", "min_id")
+def _grams_of(wanted: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """(key, grams) with the sets of the ``wanted`` classes, made anew from one text of each."""
+    crowded = classes.join(wanted.select("class"), "class", "left_semi")
     ids = crowded.select("min_id").distinct()
     texts = _rows(docs).join(ids, F.col("doc_id").eqNullSafe(F.col("min_id")), "left_semi")
     # An id that is not unique also brings other texts, or its own several times.
     sets = texts.mapInArrow(_full_sets, "key binary, grams array<bigint>")
-    each = sets.groupBy("key").agg(F.first("grams").alias("grams"))
-    return each.join(crowded.select("key", "class"), "key").select("class", "grams")
+    return sets.groupBy("key").agg(F.first("grams").alias("grams"))
 
 
 def similar_documents(docs: DataFrame) -> DataFrame:
