@@ -266,6 +266,43 @@ _WINDY_DAYS = (
     ", CAST(sum(CASE WHEN is_windy_day THEN 1 ELSE 0 END) AS BIGINT) AS windy_days"
 )
 
+# Spoiled CSV lines; numbers as Spark writes them.
+_TEXTS = ", ".join(
+    f"coalesce(CASE WHEN {n} = trunc({n}) AND abs({n}) < 1e7 THEN CAST(CAST({n} AS BIGINT) AS VARCHAR)"
+    f" || '.0' ELSE CAST({n} AS VARCHAR) END, '') AS {n}_text"
+    for n in (c.split(" ")[0] for c in _OBSERVED.split(", "))
+    if n not in ("time", "city")
+)
+_SPOILED = f""", texts AS (
+  SELECT *, right(time, 2) AS day, {_TEXTS} FROM raw
+), lines AS (
+  SELECT * REPLACE (
+    CASE WHEN day = '13' THEN 'n/a' ELSE temperature_2m_max_text END AS temperature_2m_max_text,
+    CASE WHEN day = '30' THEN 'calm' ELSE wind_speed_10m_max_text END AS wind_speed_10m_max_text,
+    CASE WHEN day = '30' THEN 'trace' ELSE rain_sum_text END AS rain_sum_text,
+    '-' || latitude_text || CASE WHEN day = '31' THEN ',?' ELSE '' END AS longitude_text)
+  FROM texts
+), judged AS (
+  SELECT time, city, day,
+    CASE WHEN day <> '13' THEN temperature_2m_max END AS temperature_2m_max,
+    CASE WHEN day <> '30' THEN rain_sum END AS rain_sum,
+    CASE WHEN day <> '30' THEN wind_speed_10m_max END AS wind_speed_10m_max,
+    CASE day WHEN '13' THEN 'temperature_2m_max' WHEN '30' THEN 'rain_sum,wind_speed_10m_max'
+      ELSE '' END AS unreadable,
+    CASE WHEN day IN ('13', '30', '31') THEN concat_ws(',', time, temperature_2m_max_text,
+      temperature_2m_min_text, temperature_2m_mean_text, precipitation_sum_text, rain_sum_text,
+      snowfall_sum_text, wind_speed_10m_max_text, city, latitude_text, longitude_text) END AS line
+  FROM lines
+)
+"""
+_BAD_FIELDS = {
+    **{c.split(" ")[0]: "false" for c in _OBSERVED.split(", ") if not c.endswith(" string")},
+    "temperature_2m_max": "day = '13'",
+    "rain_sum": "day = '30'",
+    "wind_speed_10m_max": "day = '30'",
+    "n_fields": "day = '31'",
+}
+
 ORACLE: dict[str, str] = {
     "bronze_audit": _over_layers("SELECT *, 'open_meteo' AS source FROM raw"),
     "silver_clean": _over_layers(f"SELECT {_SILVER_COLUMNS} FROM silver"),
@@ -328,6 +365,16 @@ ORACLE: dict[str, str] = {
     ),
     "dq_faults": _over_layers(_FAULTY + _CHECKS.format(daily_schema=_FAULTY_SCHEMA)),
     "csv_round_trip": _over_layers(_RAW),
+    "csv_bad_rows": _over_layers(f"{_SPOILED} SELECT time, city, temperature_2m_max, rain_sum, "
+        "wind_speed_10m_max, unreadable, line FROM judged"),
+    "csv_bad_fields": _over_layers(
+        _SPOILED
+        + " UNION ALL ".join(
+            f"SELECT '{name}' AS column_name, CAST(count_if({condition}) AS BIGINT) AS bad_rows "
+            "FROM judged"
+            for name, condition in _BAD_FIELDS.items()
+        )
+    ),
     "city_dimension": _over_layers(
         """SELECT s_name AS city, CAST(s_suppkey AS DOUBLE) AS latitude,
         -CAST(s_suppkey AS DOUBLE) AS longitude,

@@ -27,7 +27,15 @@ from skyledger.session import scratch_path
 from skyledger.sinks import tables
 from skyledger.sinks.publish import publish_snapshot
 from skyledger.sources import payloads
-from skyledger.sources.csv import read_raw, stream_raw, write_raw
+from skyledger.sources.csv import (
+    LINE,
+    quarantine,
+    read_raw,
+    sound,
+    stream_raw,
+    unreadable_counts,
+    write_raw,
+)
 from skyledger.sources.shipments import as_documents, stations
 from skyledger.sources.shipments import raw_observations as _raw
 from skyledger.streaming.continuous import read_target, start
@@ -334,18 +342,82 @@ def snapshot_publish(spark, sf_dir):
     return serving.select(*schemas.DAILY.names)
 
 
+def _spoiled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw rows as texts: on 13ths no maximum is a number, on 30ths wind and rain are not,
+    and 31sts end in one field too many."""
+    day = F.substring("time", 9, 2)
+    text = _raw(spark, sf_dir).select(
+        *(F.coalesce(F.col(f.name).cast("string"), F.lit("")).alias(f.name) for f in schemas.RAW)
+    )
+    spoiled = {
+        "temperature_2m_max": F.when(day == "13", "n/a"),
+        "wind_speed_10m_max": F.when(day == "30", "calm"),
+        "rain_sum": F.when(day == "30", "trace"),
+        "longitude": F.when(day == "31", F.concat("longitude", F.lit(",?"))),
+    }
+    return text.withColumns({name: F.coalesce(bad, F.col(name)) for name, bad in spoiled.items()})
+
+
+def _marked_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The spoiled rows written as lines of CSV files and read back with marks."""
+    path = scratch_path(spark, "spoiled")
+    rows = _spoiled(spark, sf_dir)
+    header = ",".join(schemas.RAW.names)
+    # Fields hold no commas or quotes; the header option of the text writer is a CSV column name.
+    line = F.concat_ws(",", *schemas.RAW.names).alias(header)
+    rows.select(line).write.option("header", True).option("quote", "").option("sep", "\t").csv(path)
+    return read_raw(spark, path, on_bad="mark")
+
+
+def csv_bad_rows(spark, sf_dir):
+    """What is left of each raw row after spoiling, with its unreadable fields and, for a
+    bad row, its line."""
+    raw = _marked_csv(spark, sf_dir)
+    told = ["time", "city", "temperature_2m_max", "rain_sum", "wind_speed_10m_max"]
+    good = sound(raw).select(*told, F.lit("").alias("unreadable"), F.lit(None).cast("string").alias("line"))
+    bad = quarantine(raw).select(
+        *told, F.array_join("unreadable", ",").alias("unreadable"), F.col(LINE).alias("line")
+    )
+    return payloads.concat(good, bad)
+
+
+def csv_bad_fields(spark, sf_dir):
+    """Per field, in how many of the spoiled rows it cannot be read."""
+    return unreadable_counts(_marked_csv(spark, sf_dir))
+
+
 def continuous_publish(spark, sf_dir):
-    """Serving copy after a stream of files: all rows, January first in a wrong
-    version, then corrected."""
+    """Serving copy after a stream of files that come out of order.
+
+    First all rows with a wrong January, then January corrected; last a file that is older
+    than both and wrong everywhere, and one whose rows cannot be read. Then everything once
+    more from a fresh checkpoint, in other batches.
+    """
     raw = _stored(_raw(spark, sf_dir), "raw")
     january = F.substring("time", 6, 2) == "01"
-    wrong = F.when(january, F.col("temperature_2m_max") + 50).otherwise(
-        F.col("temperature_2m_max")
-    )
-    incoming, target, work = (scratch_path(spark, n) for n in ("incoming", "target", "stream"))
-    for rows in (raw.withColumn("temperature_2m_max", wrong), raw.filter(january)):
-        rows.write.mode("append").option("header", True).csv(incoming)
-        start(stream_raw(spark, incoming), target, work, available_now=True).awaitTermination()
+    high = F.col("temperature_2m_max") + 50
+    incoming, target = scratch_path(spark, "incoming"), scratch_path(spark, "target")
+    work, again = scratch_path(spark, "stream"), scratch_path(spark, "replay")
+    # A delivery's folder names the time it was made at; that orders the rows.
+    made_at = F.regexp_extract("_metadata.file_path", "made_at=([0-9]+)", 1).cast("bigint")
+    ingested_at = F.timestamp_seconds(made_at)
+
+    def deliver(rows: DataFrame, at: int) -> None:
+        rows.write.option("header", True).csv(f"{incoming}/made_at={at}")
+
+    def copy(checkpoint: str, files: int) -> None:
+        stream = stream_raw(spark, f"{incoming}/*", files, on_bad="mark")
+        start(stream, target, checkpoint, available_now=True, ingested_at=ingested_at).awaitTermination()
+
+    wrong = F.when(january, high).otherwise(F.col("temperature_2m_max"))
+    deliver(raw.withColumn("temperature_2m_max", wrong), 1_700_000_200)
+    copy(work, 1000)
+    deliver(raw.filter(january), 1_700_000_300)
+    copy(work, 1000)
+    deliver(raw.withColumn("temperature_2m_max", high), 1_700_000_100)
+    deliver(raw.filter(~january).withColumn("temperature_2m_max", F.lit("n/a")), 1_700_000_400)
+    copy(work, 1000)
+    copy(again, 3)
     return read_target(spark, target).select(*schemas.DAILY.names)
 
 
@@ -437,6 +509,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         dq_results,
         dq_faults,
         csv_round_trip,
+        csv_bad_rows,
+        csv_bad_fields,
         city_dimension,
         json_flatten,
         payload_union,

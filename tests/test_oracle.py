@@ -7,6 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from __spark_entry__ import entry, oracle_sql, queries
+from skyledger.plans.oracle import ORACLE as SQL
+from skyledger.plans.registry import QUERIES
 
 SF = Path("/root/testdata/sf0.001")
 TYPES = {
@@ -17,7 +19,6 @@ TYPES = {
     "boolean": "BOOLEAN",
     "date": "DATE",
 }
-QUERIES, SQL = queries(), oracle_sql()
 
 
 def oracle(name, folder):
@@ -46,6 +47,7 @@ def test_query_matches_sql(spark, name):
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(queries()) and set(SQL) <= set(oracle_sql())
 
 
 def test_entry_returns_rows(spark):

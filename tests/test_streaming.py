@@ -1,4 +1,8 @@
+import os
+import random
+
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import EDGE_CSV
 from skyledger import schemas
@@ -30,6 +34,10 @@ class Feed:
         query = continuous.start(raw, self.target, work or self.work, available_now=True)
         query.awaitTermination()
 
+    def stamp(self, n, at):
+        seconds = 1_700_000_000 + at
+        os.utime(self.incoming / f"{n:03}.csv", (seconds, seconds))
+
     def served(self):
         target = continuous.read_target(self.spark, self.target)
         return target.select(*schemas.DAILY.names)
@@ -68,8 +76,6 @@ def test_corrections_replace_rows_and_leave_other_months(spark, feed, tmp_path,
 
 
 def test_newest_file_wins_within_a_batch(spark, feed, tmp_path, rows):
-    import os
-
     for n, value in enumerate((1.0, 2.0, 3.0)):
         feed.add(corrected(LINES[0], value))
         stamp = 1_700_000_000 + n
@@ -123,3 +129,48 @@ def test_rows_without_key_are_not_published(feed):
     feed.add(LINES[5], LINES[6])
     feed.copy()
     assert feed.served().count() == 0
+
+
+def test_a_late_older_file_does_not_win(spark, feed, tmp_path, rows):
+    feed.add(*LINES)
+    feed.stamp(1, 500)
+    feed.copy()
+    before = rows(feed.served())
+    feed.add(*(corrected(line, 99.0) for line in LINES[:4]), "2024-01-20" + LINES[0][10:])
+    feed.stamp(2, 100)
+    feed.copy()
+    found = rows(feed.served())
+    assert [r for r in found if r in before] == before
+    assert len(found) == len(before) + 1  # its day of its own is new
+
+
+@pytest.mark.parametrize("files_per_batch", [1, 2, 7])
+def test_no_order_and_no_cut_of_files_matters(spark, feed, tmp_path, rows, files_per_batch):
+    """Corrections arrive shuffled, some with equal times; the newest of each key stays."""
+    draw = random.Random(files_per_batch)
+    versions = [(at, line, 10.0 + at) for at in (1, 2, 3) for line in LINES[:4]]
+    draw.shuffle(versions)
+    for n, (at, line, value) in enumerate(versions, start=1):
+        feed.add(corrected(line, value))
+        feed.stamp(n, at)
+        if n % 5 == 0:
+            feed.copy(files_per_batch=files_per_batch)
+    feed.add(corrected(LINES[0], 12.5), corrected(LINES[1], 13.5))
+    feed.stamp(len(versions) + 1, 3)
+    feed.copy(files_per_batch=files_per_batch)
+    expected = {"2024-01-01": 13.0, "2024-01-02": 13.5, "2024-01-03": 13.0, "2024-01-04": 13.0}
+    assert {str(r.weather_date): r.max_temp_c for r in feed.served().collect()} == expected
+    feed.copy(work=str(tmp_path / "again"), files_per_batch=3)
+    assert {str(r.weather_date): r.max_temp_c for r in feed.served().collect()} == expected
+
+
+def test_rows_stored_without_a_time_are_the_oldest(spark, feed, rows):
+    """What a target held before it kept times."""
+    feed.add(LINES[0])
+    feed.copy()
+    old = continuous.read_target(spark, feed.target).withColumn("max_temp_c", F.lit(99.0))
+    kept = [*schemas.DAILY.names, continuous.PERIOD]
+    spark.createDataFrame(old.select(*kept).collect(), old.select(*kept).schema).write.mode("overwrite").partitionBy(continuous.PERIOD).parquet(feed.target)
+    assert [r.max_temp_c for r in feed.served().collect()] == [99.0]
+    feed.copy(work=feed.work + "_new")
+    assert [r.max_temp_c for r in feed.served().collect()] == [29.99]
