@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType, StructType
 
 from skyledger import schemas
+from skyledger.functions.rules import RuleSet, day_count
 
 DICTIONARY_SCHEMA = (
     "layer STRING, position INT, column_name STRING, data_type STRING, nullable BOOLEAN"
@@ -33,6 +34,26 @@ def contract_problems(actual: StructType, expected: StructType) -> list[str]:
     return [f"{kind}: {', '.join(found)}" for kind, found in groups.items() if found]
 
 
+def layer_contracts(rules: RuleSet) -> dict[str, StructType]:
+    """The contract of every stored layer under ``rules``.
+
+    A flag beyond the standard ones is one more column of silver and daily, and its day
+    count one more of monthly.
+    """
+
+    def more(schema: StructType, columns: dict[str, str]) -> StructType:
+        extended = StructType(list(schema.fields))
+        for name, kind in columns.items():
+            if name not in schema.names:
+                extended.add(name, kind)
+        return extended
+
+    flags = dict.fromkeys(rules.flags, "boolean")
+    counts = {day_count(flag): "long" for flag in rules.flags}
+    extra = {schemas.SILVER_NAME: flags, schemas.DAILY_NAME: flags, schemas.MONTHLY_NAME: counts}
+    return {name: more(schema, extra.get(name, {})) for name, schema in schemas.TABLES.items()}
+
+
 def require_contract(df: DataFrame, expected: StructType, name: str) -> DataFrame:
     """``df`` itself, or one ValueError that lists all problems."""
     problems = contract_problems(df.schema, expected)

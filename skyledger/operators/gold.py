@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from skyledger import schemas
 from skyledger.functions.numbers import round_total
-from skyledger.functions.rules import STANDARD, RuleSet
+from skyledger.functions.rules import STANDARD, RuleSet, day_count
 
 SCORE = "weather_severity_score"
 
@@ -28,9 +28,7 @@ def to_daily(
 
 def _day_counts(rules: RuleSet) -> list:
     """is_<kind>_day -> <kind>_days, how many days have the flag set."""
-    return [
-        F.count_if(F.col(flag)).alias(flag.removeprefix("is_") + "s") for flag in rules.flags
-    ]
+    return [F.count_if(F.col(flag)).alias(day_count(flag)) for flag in rules.flags]
 
 
 def _summary(silver: DataFrame, keys: tuple[str, ...], rules: RuleSet) -> DataFrame:

@@ -2,7 +2,7 @@
 
 Parameters are checked before a plan is built, so a bad request starts no job.
 Every lookup filters on the columns the serving copy is partitioned and sorted
-by (see ``sinks.publish``).
+by (see ``sinks.publish``); on a table without such a column it scans.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from skyledger import schemas
 from skyledger.functions.dates import date_range, iso_text
-from skyledger.sinks.publish import PERIOD
+from skyledger.sinks.publish import CITY_PARTS, PERIOD, PLACE
 
 
 def camel_case(name: str) -> str:
@@ -36,6 +36,16 @@ def _require(**parameters) -> None:
         raise ValueError(f"required: {', '.join(absent)}")
 
 
+def _matching(df: DataFrame, condition: str, args: dict) -> DataFrame:
+    return df.sparkSession.sql(f"SELECT * FROM {{df}} WHERE {condition}", args=args, df=df)
+
+
+def _of_city(df: DataFrame, condition: str = "", **args) -> DataFrame:
+    """Rows of a city; in a copy cut by city, from the part that holds it."""
+    part = f"AND {PLACE} = pmod(xxhash64(:city), {CITY_PARTS})" if PLACE in df.columns else ""
+    return _matching(df, f"city = :city {part} {condition}", args)
+
+
 def list_cities(daily: DataFrame) -> DataFrame:
     return daily.select("city").distinct().orderBy("city")
 
@@ -46,11 +56,10 @@ def _daily_between(daily: DataFrame, city: str, start: str, end: str) -> DataFra
     pruned = (
         f"AND {PERIOD} BETWEEN trunc(:first, 'month') AND :last" if PERIOD in daily.columns else ""
     )
-    return daily.sparkSession.sql(
-        "SELECT * FROM {daily} WHERE city = :city"
-        f" AND weather_date BETWEEN :first AND :last {pruned}",
-        args={"city": city, "first": first, "last": last},
-        daily=daily,
+    return _matching(
+        daily,
+        f"city = :city AND weather_date BETWEEN :first AND :last {pruned}",
+        {"city": city, "first": first, "last": last},
     )
 
 
@@ -73,22 +82,15 @@ def daily_range_meta(daily: DataFrame, city: str, start: str, end: str) -> DataF
 def monthly_of_year(monthly: DataFrame, city: str, year: int) -> DataFrame:
     """Monthly summaries of a city in one year, by month."""
     _require(city=city, year=year)
-    rows = monthly.sparkSession.sql(
-        "SELECT * FROM {monthly} WHERE city = :city AND year = :year ORDER BY month",
-        args={"city": city, "year": int(year)},
-        monthly=monthly,
-    )
+    rows = _of_city(monthly, "AND year = :year", city=city, year=int(year)).orderBy("month")
     return _response(rows, schemas.MONTHLY.names)
 
 
 def risks_of_city(risk: DataFrame, city: str, risk_type: str | None = None) -> DataFrame:
     """Risk events of a city, of one type or all, by date and type."""
     _require(city=city)
-    wanted = "AND risk_type = :risk_type" if risk_type else ""
-    args = {"city": city, **({"risk_type": risk_type} if risk_type else {})}
-    rows = risk.sparkSession.sql(
-        f"SELECT * FROM {{risk}} WHERE city = :city {wanted} ORDER BY weather_date, risk_type",
-        args=args,
-        risk=risk,
-    )
-    return _response(rows, schemas.RISK.names)
+    if risk_type:
+        rows = _of_city(risk, "AND risk_type = :risk_type", city=city, risk_type=risk_type)
+    else:
+        rows = _of_city(risk, city=city)
+    return _response(rows.orderBy("weather_date", "risk_type"), schemas.RISK.names)

@@ -1,16 +1,18 @@
 """Ten data-quality checks, their verdict, and the gate it controls.
 
-Each table is aggregated once for all of its checks. A check that cannot run is
-a failed check: the others still report.
+What the checks need to know of a table is measured once, or taken from what was counted
+while the table was written (:func:`observed`). A check that cannot run is a failed check:
+the others still report.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from skyledger import schemas
 from skyledger.contracts import require_contract
@@ -44,11 +46,29 @@ class Verdict:
         return f"{self.total - len(self.failures)}/{self.total} checks passed"
 
 
-def _one_row(df: DataFrame, *facts: Column) -> dict:
-    return df.agg(F.count(F.lit(1)).alias("rows"), *facts).first().asDict()
+def _facts(name: str) -> list[Column]:
+    """What one pass over a table's rows can count for its checks."""
+    rows = F.count(F.lit(1)).alias("rows")
+    if name == schemas.SILVER_NAME:
+        return [rows, F.count_if(F.col("weather_date").isNull()).alias("no_date")]
+    if name == schemas.DAILY_NAME:
+        return [rows, F.count_if(F.col(SCORE) < 0).alias("negative")]
+    return [rows]
 
 
-def _keyed(df: DataFrame, key: Iterable[str]) -> dict:
+def observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation | None]:
+    """``df`` of table ``name`` with its facts counted by whatever writes it.
+
+    The counts ride along with the write: no second scan of the stored rows. A retried
+    task counts once.
+    """
+    if name not in schemas.TABLES or name == schemas.BRONZE_NAME:
+        return df, None
+    observation = Observation()
+    return df.observe(observation, *_facts(name)), observation
+
+
+def _repeated(df: DataFrame, key: Iterable[str]) -> dict:
     """Rows and repeated keys, from one aggregation by key."""
     return (
         df.groupBy(*key)
@@ -66,77 +86,114 @@ def _first_line(error: Exception) -> str:
     return (str(error) or type(error).__name__).splitlines()[0]
 
 
-def run_checks(load: Callable[[str], DataFrame], severity_check: bool = False) -> list[Result]:
-    """Run every check on the tables ``load`` returns by name.
-
-    ``severity_check`` adds an eleventh, optional check: no negative score.
+def _once(measure: Callable[[], object]) -> Callable[[], object]:
+    """``measure`` run at most once; what it gave or raised comes again on later calls."""
+    kept: list = []
+
+    def call():
+        if not kept:
+            try:
+                kept.append((measure(), None))
+            except Exception as error:  # noqa: BLE001 - raised again for every check that asks
+                kept.append((None, error))
+        value, error = kept[0]
+        if error is not None:
+            raise error
+        return value
+
+    return call
+
+
+class _Table:
+    """One table under check: loaded once, each fact measured once, failures too."""
+
+    def __init__(
+        self,
+        name: str,
+        load: Callable[[str], DataFrame],
+        key: Iterable[str] | None,
+        measured: Mapping[str, int],
+    ):
+        self.name, self._measured = name, measured
+        self.frame = _once(lambda: load(name))
+        self._facts = _once(lambda: self.frame().agg(*_facts(name)).first().asDict())
+        self._counted = _once(lambda: self.frame().count())
+        self._keys = _once(lambda: _repeated(self.frame(), key))
+        self._keyed = key is not None
+
+    def fact(self, fact: str) -> int:
+        return self._measured[fact] if fact in self._measured else self._facts()[fact]
+
+    def repeated(self) -> int:
+        return self._keys()["repeated"]
+
+    def rows(self) -> int:
+        """Row count, even where a column that the facts or the key need is missing."""
+        if "rows" in self._measured:
+            return self._measured["rows"]
+        for known in (self._keys if self._keyed else self._facts, self._facts):
+            try:
+                return known()["rows"]
+            except Exception:  # noqa: BLE001 - the check of that column reports the cause
+                continue
+        return self._counted()
+
+
+def run_checks(
+    load: Callable[[str], DataFrame],
+    severity_check: bool = False,
+    contracts: Mapping[str, StructType] = schemas.TABLES,
+    measured: Mapping[str, Mapping[str, int]] | None = None,
+) -> list[Result]:
+    """Run every check on the tables ``load`` returns by name, each loaded once.
+
+    ``measured`` has, by table, what was counted while it was written; only keys are then
+    left to be looked at. ``severity_check`` adds an eleventh, optional check: no
+    negative score.
     """
     results: list[Result] = []
 
-    def check(dataset: str, rule: str, run: Callable[[], tuple[bool, str]]) -> None:
+    def check(dataset: _Table, rule: str, run: Callable[[], tuple[bool, str]]) -> None:
         try:
             passed, detail = run()
         except Exception as error:  # noqa: BLE001 - any failure is this check's result
             passed, detail = False, _first_line(error)
-        results.append(Result(len(results) + 1, dataset, rule, passed, detail))
-
-    def facts_of(name: str, measure: Callable[[DataFrame], dict]) -> Callable[[], dict]:
-        """Measured on first use, once; a table that cannot be measured raises again."""
-        kept: dict = {}
+        results.append(Result(len(results) + 1, dataset.name, rule, passed, detail))
 
-        def facts() -> dict:
-            if not kept:
-                kept.update(measure(load(name)))
-            return kept
+    def table(name: str, key: Iterable[str] | None = None) -> _Table:
+        return _Table(name, load, key, (measured or {}).get(name, {}))
 
-        return facts
-
-    def rows_or_count(name: str, facts: Callable[[], dict]) -> int:
-        """Row count even where the key columns are missing."""
-        try:
-            return facts()["rows"]
-        except Exception:  # noqa: BLE001 - the key check reports the cause
-            return load(name).count()
-
-    def schema(name: str) -> tuple[bool, str]:
-        require_contract(load(name), schemas.TABLES[name], name)
+    def schema(t: _Table) -> tuple[bool, str]:
+        require_contract(t.frame(), contracts[t.name], t.name)
         return True, "as declared"
 
-    def not_empty(rows: int) -> tuple[bool, str]:
+    def not_empty(t: _Table) -> tuple[bool, str]:
+        rows = t.rows()
         return rows > 0, f"{rows} rows"
 
-    silver, daily = schemas.SILVER_NAME, schemas.DAILY_NAME
-    monthly, risk = schemas.MONTHLY_NAME, schemas.RISK_NAME
-    no_date = F.count_if(F.col("weather_date").isNull()).alias("no_date")
-    silver_facts = facts_of(silver, lambda df: _one_row(df, no_date))
-    daily_facts = facts_of(daily, lambda df: _keyed(df, schemas.DAILY_KEY))
-    risk_facts = facts_of(risk, lambda df: _keyed(df, schemas.RISK_KEY))
-
-    def dated() -> tuple[bool, str]:
-        n = silver_facts()["no_date"]
-        return n == 0, f"{n} rows without weather_date"
-
-    def unique(facts: Callable[[], dict]) -> tuple[bool, str]:
-        n = facts()["repeated"]
-        return n == 0, f"{n} repeated keys"
-
-    check(silver, "not empty", lambda: not_empty(rows_or_count(silver, silver_facts)))
-    check(silver, "weather_date not null", dated)
+    def none(n: int, what: str) -> tuple[bool, str]:
+        return n == 0, f"{n} {what}"
+
+    silver, monthly = table(schemas.SILVER_NAME), table(schemas.MONTHLY_NAME)
+    daily = table(schemas.DAILY_NAME, schemas.DAILY_KEY)
+    risk = table(schemas.RISK_NAME, schemas.RISK_KEY)
+    check(silver, "not empty", lambda: not_empty(silver))
+    check(
+        silver,
+        "weather_date not null",
+        lambda: none(silver.fact("no_date"), "rows without weather_date"),
+    )
     check(daily, "schema", lambda: schema(daily))
-    check(daily, "not empty", lambda: not_empty(rows_or_count(daily, daily_facts)))
-    check(daily, "unique key", lambda: unique(daily_facts))
+    check(daily, "not empty", lambda: not_empty(daily))
+    check(daily, "unique key", lambda: none(daily.repeated(), "repeated keys"))
     check(monthly, "schema", lambda: schema(monthly))
-    check(monthly, "not empty", lambda: not_empty(load(monthly).count()))
+    check(monthly, "not empty", lambda: not_empty(monthly))
     check(risk, "schema", lambda: schema(risk))
-    check(risk, "can be queried", lambda: (True, f"{rows_or_count(risk, risk_facts)} rows"))
-    check(risk, "unique key", lambda: unique(risk_facts))
-
-    def not_negative() -> tuple[bool, str]:
-        n = load(daily).filter(F.col(SCORE) < 0).count()
-        return n == 0, f"{n} negative scores"
-
+    check(risk, "can be queried", lambda: (True, f"{risk.rows()} rows"))
+    check(risk, "unique key", lambda: none(risk.repeated(), "repeated keys"))
     if severity_check:
-        check(daily, "severity not negative", not_negative)
+        negative = lambda: none(daily.fact("negative"), "negative scores")
+        check(daily, "severity not negative", negative)
     return results
 
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from skyledger import schemas
-from skyledger.contracts import require_columns, require_no_missing
+from skyledger.contracts import layer_contracts, require_columns, require_no_missing
 from skyledger.functions.rules import STANDARD, RuleSet
 from skyledger.operators import quality
 from skyledger.operators.gold import to_daily, to_monthly, to_risk
@@ -16,9 +16,10 @@ from skyledger.operators.profiles import raw_by_city
 from skyledger.sinks.publish import publish
 from skyledger.sinks.tables import (
     Warehouse,
+    create_namespace,
     current_version,
-    ensure_layers,
     overwrite_table,
+    table_exists,
     write_layer,
 )
 from skyledger.sources.csv import read_raw, write_raw
@@ -27,6 +28,7 @@ from skyledger.sources.payloads import flatten
 RESULTS_NAME = "dq_results"
 VERDICT_NAME = "dq_verdict"
 CHECKED_NAME = "dq_checked_versions"
+MEASURED_NAME = "dq_measured"
 
 
 def export_raw(documents: DataFrame, cities: DataFrame, path: str) -> DataFrame:
@@ -43,24 +45,55 @@ def export_raw(documents: DataFrame, cities: DataFrame, path: str) -> DataFrame:
 def build_layers(
     raw: DataFrame, wh: Warehouse, on_bad_date: str = "fail", rules: RuleSet = STANDARD
 ) -> dict[str, DataFrame]:
-    """Write bronze, silver and the three gold tables.
+    """Write bronze, silver and the three gold tables, under the contracts of ``rules``.
 
     Each layer is read back from its table: lineage ends at every write, and the
-    gold tables share one stored silver instead of computing it three times.
+    gold tables share one stored silver instead of computing it three times. What the
+    quality checks want to know of the rows is counted while they are written, and kept
+    with the version it was counted of.
     """
-    ensure_layers(raw.sparkSession, wh)
-    bronze = write_layer(to_bronze(raw), wh, schemas.BRONZE_NAME)
-    silver = write_layer(to_silver(bronze, on_bad_date, rules), wh, schemas.SILVER_NAME)
-    return {
+    spark = raw.sparkSession
+    create_namespace(spark, wh)
+    contracts, measured = layer_contracts(rules), []
+
+    def write(df: DataFrame, table: str) -> DataFrame:
+        df, observed = quality.observed(df, table)
+        stored = write_layer(df, wh, table, contracts[table])
+        if observed:
+            version = current_version(spark, wh, table)
+            measured.extend((table, version, fact, n) for fact, n in observed.get.items())
+        return stored
+
+    bronze = write(to_bronze(raw), schemas.BRONZE_NAME)
+    silver = write(to_silver(bronze, on_bad_date, rules), schemas.SILVER_NAME)
+    layers = {
         schemas.BRONZE_NAME: bronze,
         schemas.SILVER_NAME: silver,
-        schemas.DAILY_NAME: write_layer(to_daily(silver, rules), wh, schemas.DAILY_NAME),
-        schemas.MONTHLY_NAME: write_layer(to_monthly(silver, rules), wh, schemas.MONTHLY_NAME),
-        schemas.RISK_NAME: write_layer(to_risk(silver, rules), wh, schemas.RISK_NAME),
+        schemas.DAILY_NAME: write(to_daily(silver, rules), schemas.DAILY_NAME),
+        schemas.MONTHLY_NAME: write(to_monthly(silver, rules), schemas.MONTHLY_NAME),
+        schemas.RISK_NAME: write(to_risk(silver, rules), schemas.RISK_NAME),
     }
+    facts = spark.createDataFrame(measured, "dataset STRING, version STRING, fact STRING, n BIGINT")
+    overwrite_table(facts, wh, MEASURED_NAME)
+    return layers
+
+
+def _measured(spark: SparkSession, wh: Warehouse, versions: dict) -> dict[str, dict[str, int]]:
+    """What was counted while the present versions were written."""
+    found: dict[str, dict[str, int]] = {}
+    if table_exists(spark, wh.name(MEASURED_NAME)):
+        for row in spark.table(wh.name(MEASURED_NAME)).collect():
+            if row.version and row.version == versions.get(row.dataset):
+                found.setdefault(row.dataset, {})[row.fact] = row.n
+    return found
 
 
-def check_layers(spark: SparkSession, wh: Warehouse) -> quality.Verdict:
+def check_layers(
+    spark: SparkSession,
+    wh: Warehouse,
+    rules: RuleSet = STANDARD,
+    severity_check: bool = False,
+) -> quality.Verdict:
     """Run the checks on the stored tables and store results and verdict.
 
     The verdict is stored whether it is good or bad, so that a gate in another
@@ -68,7 +101,12 @@ def check_layers(spark: SparkSession, wh: Warehouse) -> quality.Verdict:
     each table that was checked.
     """
     versions = {name: current_version(spark, wh, name) for name in schemas.TABLES}
-    results = quality.run_checks(lambda name: spark.table(versions[name] or wh.name(name)))
+    results = quality.run_checks(
+        lambda name: spark.table(versions[name] or wh.name(name)),
+        severity_check=severity_check,
+        contracts=layer_contracts(rules),
+        measured=_measured(spark, wh, versions),
+    )
     verdict = quality.judge(results)
     overwrite_table(quality.results_frame(spark, results), wh, RESULTS_NAME)
     overwrite_table(quality.verdict_frame(spark, verdict), wh, VERDICT_NAME)
@@ -83,9 +121,12 @@ def publish_if_passed(
 ) -> bool:
     """Publish only what a passing verdict was about; says whether it did.
 
-    The gate refuses a table that has been written since its check. A provider
-    without versions of ours (delta) is judged by the stored verdict alone.
+    The gate refuses a table that has been written since its check, and one that was
+    never checked. A provider without versions of ours (delta) is judged by the stored
+    verdict alone.
     """
+    if not table_exists(spark, wh.name(CHECKED_NAME)):
+        return False
     checked = {r.dataset: r for r in spark.table(wh.name(CHECKED_NAME)).collect()}
     for table in tables:
         row = checked.get(table)
@@ -101,11 +142,13 @@ def run(
     wh: Warehouse,
     on_bad_date: str = "fail",
     publish_tables: Sequence[str] = (schemas.DAILY_NAME,),
+    rules: RuleSet = STANDARD,
+    severity_check: bool = False,
 ) -> quality.Verdict:
     """Everything, in order. A failed check fails the run and publishes nothing."""
     spark = raw.sparkSession
-    build_layers(raw, wh, on_bad_date)
-    verdict = check_layers(spark, wh)
+    build_layers(raw, wh, on_bad_date, rules)
+    verdict = check_layers(spark, wh, rules, severity_check)
     publish_if_passed(spark, wh, publish_tables)
     quality.require_passed(verdict)
     return verdict

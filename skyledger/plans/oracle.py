@@ -392,6 +392,23 @@ ORACLE: dict[str, str] = {
     "ensure_table": _over_layers(_DAILY),
     "overwrite_table": _over_layers("SELECT * FROM monthly"),
     "snapshot_publish": _over_layers(_DAILY),
+    "publish_monthly": _over_layers("SELECT * FROM monthly"),
+    "publish_risk": _over_layers("SELECT * FROM risk"),
+    "gated_publish": _over_layers(
+        """SELECT CAST(1 AS INTEGER) AS attempt, count(*) = 0 AS dq_passed,
+        CAST(CASE WHEN count(*) = 0 THEN 10 ELSE 8 END AS INTEGER) AS passed,
+        CAST(10 AS INTEGER) AS total, false AS published, CAST(0 AS BIGINT) AS served_rows FROM daily
+        UNION ALL
+        SELECT 2, true, 10, 10, true, count(*) FROM daily"""
+    ),
+    "windy_pipeline": _over_layers(_WINDY_DAILY),
+    "windy_verdict": _over_layers(
+        _SOUND
+        + _CHECKS.format(daily_schema="true, 'as declared'")
+        + """UNION ALL SELECT 11, 'gold_city_daily_weather_metrics', 'severity not negative',
+        count_if(weather_severity_score < 0) = 0,
+        count_if(weather_severity_score < 0) || ' negative scores' FROM daily"""
+    ),
     "continuous_publish": _over_layers(_DAILY),
     "windy_days": _over_layers(_SILVER_PROFILE.format(more=_WINDY_DAYS)),
     "severity_windy": _over_layers(_WINDY_DAILY),

@@ -22,10 +22,17 @@ from skyledger.operators.gold import (
     with_created_at,
 )
 from skyledger.operators.layers import to_bronze, to_silver
-from skyledger.plans.batch import build_layers
-from skyledger.session import scratch_path
+from skyledger.plans.batch import (
+    RESULTS_NAME,
+    VERDICT_NAME,
+    build_layers,
+    check_layers,
+    publish_if_passed,
+    run,
+)
+from skyledger.session import remembered, scratch_path
 from skyledger.sinks import tables
-from skyledger.sinks.publish import publish_snapshot
+from skyledger.sinks.publish import PERIOD, publish, publish_snapshot
 from skyledger.sources import payloads
 from skyledger.sources.csv import (
     LINE,
@@ -101,6 +108,28 @@ def _stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_GOLD = {
+    schemas.DAILY_NAME: _daily,
+    schemas.MONTHLY_NAME: _monthly,
+    schemas.RISK_NAME: _risk,
+}
+
+
+def _publish_gold(spark: SparkSession, sf_dir: str, source: str) -> DataFrame:
+    """The serving copy of a gold table, after its layer has been written."""
+    wh = _warehouse(spark)
+    tables.write_layer(_GOLD[source](spark, sf_dir), wh, source)
+    return publish(spark, wh, [source])[schemas.SERVING[source][0]]
+
+
+def served(spark: SparkSession, sf_dir: str, source: str) -> DataFrame:
+    """The serving copy of a gold table; published once, until the scratch is cleared."""
+    kept = remembered(spark)
+    if (sf_dir, source) not in kept:
+        kept[sf_dir, source] = _publish_gold(spark, sf_dir, source)
+    return kept[sf_dir, source]
+
+
 # --- layers ------------------------------------------------------------------
 
 
@@ -159,15 +188,15 @@ def preview_limit(spark, sf_dir):
 
 
 def list_cities(spark, sf_dir):
-    return lookups.list_cities(_daily(spark, sf_dir))
+    return lookups.list_cities(served(spark, sf_dir, schemas.DAILY_NAME))
 
 
 def daily_range(spark, sf_dir):
-    return lookups.daily_range(_daily(spark, sf_dir), CITY, FROM, TO)
+    return lookups.daily_range(served(spark, sf_dir, schemas.DAILY_NAME), CITY, FROM, TO)
 
 
 def daily_range_meta(spark, sf_dir):
-    return lookups.daily_range_meta(_daily(spark, sf_dir), CITY, FROM, TO)
+    return lookups.daily_range_meta(served(spark, sf_dir, schemas.DAILY_NAME), CITY, FROM, TO)
 
 
 # --- contracts and quality ---------------------------------------------------
@@ -234,21 +263,26 @@ def iso_date_rows(spark, sf_dir):
     )
 
 
-def _checked(spark: SparkSession, frames: dict[str, DataFrame]) -> DataFrame:
-    return quality.results_frame(spark, quality.run_checks(frames.__getitem__))
+def _checked(spark: SparkSession, frames: dict[str, DataFrame], **options) -> DataFrame:
+    return quality.results_frame(spark, quality.run_checks(frames.__getitem__, **options))
+
+
+def _silver_and_facts(spark: SparkSession, sf_dir: str) -> tuple[dict[str, DataFrame], dict]:
+    """Silver stored, the gold frames over it, and what was counted while it was written."""
+    silver, observation = quality.observed(_silver(spark, sf_dir), schemas.SILVER_NAME)
+    silver = _stored(silver, "silver")
+    frames = {
+        schemas.SILVER_NAME: silver,
+        schemas.DAILY_NAME: to_daily(silver),
+        schemas.MONTHLY_NAME: to_monthly(silver),
+        schemas.RISK_NAME: to_risk(silver),
+    }
+    return frames, {schemas.SILVER_NAME: observation.get}
 
 
 def dq_results(spark, sf_dir):
-    silver = _stored(_silver(spark, sf_dir), "silver")
-    return _checked(
-        spark,
-        {
-            schemas.SILVER_NAME: silver,
-            schemas.DAILY_NAME: to_daily(silver),
-            schemas.MONTHLY_NAME: to_monthly(silver),
-            schemas.RISK_NAME: to_risk(silver),
-        },
-    )
+    frames, measured = _silver_and_facts(spark, sf_dir)
+    return _checked(spark, frames, measured=measured)
 
 
 def dq_faults(spark, sf_dir):
@@ -342,6 +376,54 @@ def snapshot_publish(spark, sf_dir):
     return serving.select(*schemas.DAILY.names)
 
 
+def publish_monthly(spark, sf_dir):
+    """The serving copy of the monthly summaries, cut by city."""
+    return served(spark, sf_dir, schemas.MONTHLY_NAME).select(*schemas.MONTHLY.names)
+
+
+def publish_risk(spark, sf_dir):
+    """The serving copy of the risk events, cut by city."""
+    return served(spark, sf_dir, schemas.RISK_NAME).select(*schemas.RISK.names)
+
+
+def gated_publish(spark, sf_dir):
+    """What is served after a bad run and then a good one, with both verdicts.
+
+    Between the two nothing may be served: the bad verdict covers doubled keys.
+    """
+    raw, wh = _stored(_raw(spark, sf_dir), "raw"), _warehouse(spark)
+    target = schemas.SERVING[schemas.DAILY_NAME][0]
+    verdicts = []
+    for attempt, rows in enumerate((payloads.concat(raw, raw), raw), start=1):
+        build_layers(rows, wh)
+        check_layers(spark, wh)
+        published = publish_if_passed(spark, wh)
+        days = spark.table(wh.name(target)).count() if tables.table_exists(spark, wh.name(target)) else 0
+        # Read now: the next run replaces the table.
+        verdict = spark.table(wh.name(VERDICT_NAME)).first()
+        verdicts.append((attempt, *verdict, published, days))
+    return spark.createDataFrame(
+        verdicts,
+        "attempt INT, dq_passed BOOLEAN, passed INT, total INT, published BOOLEAN, served_rows BIGINT",
+    )
+
+
+def windy_pipeline(spark, sf_dir):
+    """Daily rows re-read from the tables of a whole run with the windy rules."""
+    wh = _warehouse(spark)
+    run(_raw(spark, sf_dir), wh, rules=WINDY, severity_check=True)
+    target = schemas.SERVING[schemas.DAILY_NAME][0]
+    return spark.table(wh.name(target)).drop(PERIOD)
+
+
+def windy_verdict(spark, sf_dir):
+    """The eleven stored results of such a run."""
+    wh = _warehouse(spark)
+    build_layers(_raw(spark, sf_dir), wh, rules=WINDY)
+    check_layers(spark, wh, WINDY, severity_check=True)
+    return spark.table(wh.name(RESULTS_NAME))
+
+
 def _spoiled(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw rows as texts: on 13ths no maximum is a number, on 30ths wind and rain are not,
     and 31sts end in one field too many."""
@@ -437,15 +519,8 @@ def monthly_windy(spark, sf_dir):
 
 
 def severity_check(spark, sf_dir):
-    silver = _stored(_silver(spark, sf_dir), "silver")
-    frames = {
-        schemas.SILVER_NAME: silver,
-        schemas.DAILY_NAME: to_daily(silver),
-        schemas.MONTHLY_NAME: to_monthly(silver),
-        schemas.RISK_NAME: to_risk(silver),
-    }
-    results = quality.run_checks(frames.__getitem__, severity_check=True)
-    return quality.results_frame(spark, results).filter("check_id = 11")
+    frames, measured = _silver_and_facts(spark, sf_dir)
+    return _checked(spark, frames, measured=measured, severity_check=True).filter("check_id = 11")
 
 
 def dry_day_risk(spark, sf_dir):
@@ -464,15 +539,15 @@ def yearly_summary(spark, sf_dir):
 
 
 def monthly_lookup(spark, sf_dir):
-    return lookups.monthly_of_year(_monthly(spark, sf_dir), CITY, YEAR)
+    return lookups.monthly_of_year(served(spark, sf_dir, schemas.MONTHLY_NAME), CITY, YEAR)
 
 
 def risks_lookup(spark, sf_dir):
-    return lookups.risks_of_city(_risk(spark, sf_dir), CITY)
+    return lookups.risks_of_city(served(spark, sf_dir, schemas.RISK_NAME), CITY)
 
 
 def risks_lookup_type(spark, sf_dir):
-    return lookups.risks_of_city(_risk(spark, sf_dir), CITY, "HEAVY_RAIN")
+    return lookups.risks_of_city(served(spark, sf_dir, schemas.RISK_NAME), CITY, "HEAVY_RAIN")
 
 
 def daily_configured(spark, sf_dir):
@@ -518,6 +593,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         ensure_table,
         overwrite_table,
         snapshot_publish,
+        publish_monthly,
+        publish_risk,
+        gated_publish,
+        windy_pipeline,
+        windy_verdict,
         continuous_publish,
         windy_days,
         severity_windy,

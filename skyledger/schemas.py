@@ -95,3 +95,6 @@ SERVING = {
     MONTHLY_NAME: ("weather_monthly_summary", MONTHLY_KEY),
     RISK_NAME: ("weather_risk_days", RISK_KEY),
 }
+
+# How the serving copies are cut (see ``sinks.publish``): by what lookups name.
+SERVING_LAYOUT = {DAILY_NAME: "month", MONTHLY_NAME: "city", RISK_NAME: "city"}

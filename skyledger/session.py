@@ -9,6 +9,7 @@ from pyspark.sql import SparkSession
 
 _local_scratch: tempfile.TemporaryDirectory | None = None
 _scratch_paths: list[str] = []
+_remembered: dict[str, dict] = {}
 
 
 def local_session(cores: int | str = "*", **settings: str) -> SparkSession:
@@ -45,11 +46,17 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return path
 
 
+def remembered(spark: SparkSession) -> dict:
+    """What this session keeps for later in scratch paths; emptied with them."""
+    return _remembered.setdefault(spark.sparkContext.applicationId, {})
+
+
 def clear_scratch(spark: SparkSession) -> None:
     """Delete the scratch paths this process was given.
 
     Frames that read them are lazy, so only their user knows when that is safe.
     """
+    remembered(spark).clear()
     hadoop = spark.sparkContext._jsc.hadoopConfiguration()
     while _scratch_paths:
         path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_scratch_paths.pop())

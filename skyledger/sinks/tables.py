@@ -165,6 +165,12 @@ def ensure_layers(spark: SparkSession, wh: Warehouse) -> None:
         ensure_table(spark, wh, table, schema)
 
 
-def write_layer(df: DataFrame, wh: Warehouse, table: str) -> DataFrame:
-    """Check ``df`` against the contract of its layer, then overwrite the table."""
-    return overwrite_table(require_contract(df, schemas.TABLES[table], table), wh, table)
+def write_layer(
+    df: DataFrame, wh: Warehouse, table: str, schema: StructType | None = None
+) -> DataFrame:
+    """Check ``df`` against the contract of its layer, then overwrite the table.
+
+    ``schema`` is the contract where optional rules have changed it.
+    """
+    expected = schemas.TABLES[table] if schema is None else schema
+    return overwrite_table(require_contract(df, expected, table), wh, table)
