@@ -28,11 +28,33 @@ def city_dimension(spark: SparkSession, cities=CITIES) -> DataFrame:
     return spark.createDataFrame(cities, "city STRING, latitude DOUBLE, longitude DOUBLE")
 
 
+def keyed_cities(cities: DataFrame) -> DataFrame:
+    """``cities`` with one row per city; a repeated one fails the job that meets it.
+
+    A join on a repeated city would multiply its days. The test is part of the plan: one
+    aggregation of the dimension, no job of its own.
+    """
+    repeated = F.concat(F.lit("city more than once in the dimension: "), F.col("city"))
+    single = F.when(F.col("_n") > 1, F.raise_error(repeated).cast("boolean")).otherwise(True)
+    return (
+        cities.filter(F.col("city").isNotNull())
+        .groupBy("city")
+        .agg(
+            F.count(F.lit(1)).alias("_n"),
+            F.first("latitude").alias("latitude"),
+            F.first("longitude").alias("longitude"),
+        )
+        .filter(single)
+        .drop("_n")
+    )
+
+
 def flatten(documents: DataFrame, cities: DataFrame) -> DataFrame:
     """Raw rows from (city, payload text), coordinates looked up in ``cities``.
 
     A document that does not parse, lacks an array or has arrays of different
-    lengths fails the job: none of its days may be lost quietly. The lookup is a
+    lengths fails the job: none of its days may be lost quietly, and none multiplied by a
+    city that ``cities`` has twice. The lookup is a
     left join on whole documents, before they are opened, without a broadcast
     hint: Spark broadcasts ``cities`` only while its size allows.
     """
@@ -51,7 +73,7 @@ def flatten(documents: DataFrame, cities: DataFrame) -> DataFrame:
     )
     return (
         parsed.withColumn("daily", checked)
-        .join(cities.select("city", "latitude", "longitude"), "city", "left")
+        .join(keyed_cities(cities), "city", "left")
         .select(
             "city",
             "latitude",

@@ -93,3 +93,14 @@ def test_concat_matches_by_name(raw, rows):
     assert rows(payloads.concat(raw, shuffled)) == rows(raw.union(raw))
     with pytest.raises(PySparkException):
         payloads.concat(raw, raw.withColumn("extra", F.lit(1)))
+
+
+def test_a_repeated_city_fails_instead_of_multiplying_its_days(spark):
+    arrays = {"time": ["2024-01-01", "2024-01-02"], **{m: [1.0, 2.0] for m in schemas.METRICS}}
+    documents = spark.createDataFrame([("Austin", json.dumps({"daily": arrays}))], "city STRING, payload STRING")
+    cities = [("Austin", 30.0, -97.0), ("Oslo", 59.9, 10.7), (None, 0.0, 0.0), (None, 1.0, 1.0)]
+    known = payloads.city_dimension(spark, cities)
+    assert payloads.flatten(documents, known).count() == 2
+    for twice in (("Austin", 30.0, -97.0), ("Oslo", 60.0, 10.7)):
+        with pytest.raises(Exception, match=f"more than once in the dimension: {twice[0]}"):
+            payloads.flatten(documents, payloads.city_dimension(spark, [*cities, twice])).collect()
