@@ -13,24 +13,49 @@ about n log n steps, where plain merging takes n squared.
 
 Decoding concatenates the bytes of tokens up the same tree.
 
-A null or empty text has no tokens. Every text is encoded whole; encodings of
-pieces are remembered by each worker, up to ``REMEMBERED`` of them.
+A null or empty text has no tokens. Every text is encoded whole, however long. A
+repeated row, or a repeated or missing id, is a row like any other; an empty table gives
+none; columns beside doc_id and text are left out. Each worker remembers the encodings of
+distinct pieces, up to ``REMEMBERED``, which changes the speed and no result.
 """
 
 from __future__ import annotations
 
 import base64
 import heapq
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
+from itertools import pairwise
 
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-LEAF = 32
-REMEMBERED = 200_000
+LEAF, LONGEST_RUN = 5, 64  # bytes encoded at once; tokens decoded at once
+REMEMBERED = 100_000
+
+
+class Remembered(dict):
+    """Results by argument, made when first asked for.
+
+    What is in use stays: once ``REMEMBERED`` are held they become the older half, from which
+    those asked for again come back; the former older half goes.
+    """
+
+    def __init__(self, make: Callable):
+        super().__init__()
+        self.make, self.older = make, {}
+
+    def __missing__(self, key):
+        made = self.older.get(key)
+        if made is None:
+            made = self.make(key)
+        if len(self) >= REMEMBERED:
+            self.older = dict(self)
+            self.clear()
+        self[key] = made
+        return made
 
 
 class Tokenizer:
@@ -39,29 +64,39 @@ class Tokenizer:
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks = ranks
         self.tokens = {rank: token for token, rank in ranks.items()}
+        self.single = [ranks[bytes([b])] for b in range(256)]
         self.pattern = regex.compile(pattern)
-        self.known: dict[str, tuple[bytes, int, bytes]] = {}
-        self.pairs: dict[tuple[int, int], bool] = {}
+        # What two neighbours merge into, for every way to cut a token into two tokens.
+        self.merged = {
+            (left, right): rank
+            for token, rank in ranks.items()
+            for cut in range(1, len(token))
+            if (left := ranks.get(token[:cut])) is not None
+            and (right := ranks.get(token[cut:])) is not None
+        }
+        self.windows = Remembered(self.merge)
+        self.neighbours = Remembered(self._compatible)
+        self.pieces = Remembered(self._round_trip_piece)
 
     def merge(self, data: bytes) -> list[int]:
         """Plain merging, lowest rank first and leftmost among equals."""
-        ranks = self.ranks
-        if data in ranks:
-            whole = ranks[data]
+        whole = self.ranks.get(data)
+        if whole is not None:
             return [whole]
-        if len(data) > 4 * LEAF:
+        if len(data) > 2 * LONGEST_RUN:
             return self._merge_long(data)
-        parts = [data[i : i + 1] for i in range(len(data))]
-        while len(parts) > 1:
-            best, at = None, -1
-            for i in range(len(parts) - 1):
-                rank = ranks.get(parts[i] + parts[i + 1])
-                if rank is not None and (best is None or rank < best):
-                    best, at = rank, i
-            if best is None:
-                break
-            parts[at : at + 2] = [parts[at] + parts[at + 1]]
-        return [ranks[p] for p in parts]
+        merged, none = self.merged.get, len(self.ranks) + (1 << 30)
+        parts = [self.single[b] for b in data]
+        found = [merged(two, none) for two in pairwise(parts)]
+        while found and (best := min(found)) != none:
+            at = found.index(best)
+            parts[at : at + 2] = [best]
+            del found[at]
+            if at < len(found):
+                found[at] = merged((best, parts[at + 1]), none)
+            if at:
+                found[at - 1] = merged((parts[at - 1], best), none)
+        return parts
 
     def _merge_long(self, data: bytes) -> list[int]:
         """The same for a large window, with a heap: part [i, ends[i]) starts at i."""
@@ -87,37 +122,33 @@ class Tokenizer:
             i = ends[i]
         return out
 
-    def compatible(self, a: int, b: int) -> bool:
-        known = self.pairs.get((a, b))
-        if known is None:
-            if len(self.pairs) >= REMEMBERED:
-                self.pairs.clear()
-            known = self.merge(self.tokens[a] + self.tokens[b]) == [a, b]
-            self.pairs[a, b] = known
-        return known
+    def _compatible(self, pair: tuple[int, int]) -> bool:
+        return self.merge(self.tokens[pair[0]] + self.tokens[pair[1]]) == [*pair]
 
     def join(self, left: list[int], right: list[int]) -> list[int]:
         """The encoding of the bytes of ``left`` and ``right``, both encodings."""
-        if not left or not right or self.compatible(left[-1], right[0]):
+        neighbours = self.neighbours
+        if not left or not right or neighbours[left[-1], right[0]]:
             return left + right
         i = j = 1
         while True:
             i, j = min(i, len(left)), min(j, len(right))
-            middle = self.merge(self.decode(left[-i:] + right[:j]))
-            grow_left = i < len(left) and not self.compatible(left[-i - 1], middle[0])
-            grow_right = j < len(right) and not self.compatible(middle[-1], right[j])
+            window = self.decode(left[-i:] + right[:j])
+            middle = self.windows[window] if len(window) <= 4 * LEAF else self.merge(window)
+            grow_left = i < len(left) and not neighbours[left[-i - 1], middle[0]]
+            grow_right = j < len(right) and not neighbours[middle[-1], right[j]]
             if not grow_left and not grow_right:
                 return left[:-i] + middle + right[j:]
             i, j = i + i * grow_left, j + j * grow_right
 
     def encode_piece(self, data: bytes) -> list[int]:
         if len(data) <= LEAF:
-            return self.merge(data)
+            return self.windows[data]
         half = len(data) // 2
         return self.join(self.encode_piece(data[:half]), self.encode_piece(data[half:]))
 
     def decode(self, ids: list[int]) -> bytes:
-        if len(ids) > 2 * LEAF:
+        if len(ids) > LONGEST_RUN:
             half = len(ids) // 2
             return self.decode(ids[:half]) + self.decode(ids[half:])
         return b"".join([self.tokens[i] for i in ids])
@@ -125,23 +156,19 @@ class Tokenizer:
     def encode(self, text: str) -> list[int]:
         return [i for piece in self.pattern.findall(text) for i in self.encode_piece(piece.encode())]
 
-    def _entry(self, piece: str) -> tuple[bytes, int, bytes]:
+    def _round_trip_piece(self, piece: str) -> tuple[str, bytes]:
         ids = self.encode_piece(piece.encode())
-        entry = (" ".join(map(str, ids)).encode(), len(ids), self.decode(ids))
-        if len(piece) <= 2 * LEAF:
-            if len(self.known) >= REMEMBERED:
-                self.known.clear()
-            self.known[piece] = entry
-        return entry
+        return " ".join(map(str, ids)), self.decode(ids)
 
     def round_trip(self, text: str) -> tuple[str, int, bytes]:
         """Ids as decimal numbers joined by a space, their number, the decoded bytes."""
-        known, entry = self.known, self._entry
-        found = [known.get(piece) or entry(piece) for piece in self.pattern.findall(text)]
-        if not found:
+        pieces = self.pattern.findall(text)
+        if not pieces:
             return "", 0, b""
-        ids, counts, decoded = zip(*found, strict=True)
-        return b" ".join(ids).decode(), sum(counts), b"".join(decoded)
+        parts = [self.pieces[p] if len(p) <= LONGEST_RUN else self._round_trip_piece(p) for p in pieces]
+        texts, decoded = zip(*parts, strict=True)
+        ids = " ".join(texts)
+        return ids, ids.count(" ") + 1, b"".join(decoded)
 
 
 @lru_cache(maxsize=2)
