@@ -13,16 +13,24 @@ large group of copies is one row.
   the estimate strays by 0.029; pairs estimated below ``LEAST_ESTIMATE`` are dropped.
 * *Confirmation.* The full sets of the remaining pairs are intersected.
 
-Within a bucket every class is first paired with one pivot, so a large bucket gives
-a line of pairs, not a square.
-Buckets whose members are then not all connected get another pivot, for the members
-outside its component, ``PIVOTS`` times in all. What is still apart after that is
-compared in blocks of a bucket inside a task, by sketches and then by full sets;
-only links leave it. So no link between components is missed for want of a
-comparison, and no bucket is squared into rows.
-
-Documents without words have an empty set and are linked with nothing. Repeated
-rows share a class. A missing id is larger than any other.
+* *Clusters.* The classes of a bucket are tied to its least class; buckets of the same
+  members are one. What the ties connect, by ids alone, is a cluster: no pair that shares
+  a band leaves it. Clusters are cut into blocks of about 2048 classes, and every two
+  blocks meet in a task, where classes of different components are compared by sketch
+  and, if that allows a link, by full set. Only links that connect something leave the task.
+* *Wide clusters*, those of more blocks than their classes have buckets, are taken by
+  their buckets: the ties are verified first, which connects a group of N near copies by
+  about N pairs; then buckets that still hold several components are cut into blocks.
+
+So no link between components is missed for want of a comparison, and no bucket is squared
+into rows. What is left to chance is the bands and the sketch's estimate; with
+``least_estimate`` 0 no pair is dropped by its sketch, and every pair of a cluster that is
+not connected yet is compared by full sets.
+
+Null and empty texts have an empty set and are linked with nothing; a text shorter than a
+shingle is one shingle. Long texts are taken whole. Repeated rows share a class. A missing
+id is larger than any other. An empty table has no rows; :func:`drop_near_duplicates`
+keeps all columns, whatever their names.
 """
 
 from __future__ import annotations
@@ -36,14 +44,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skyledger.llm.common import Words, chunked_words, mix, stored
+from skyledger.llm.ngram_join import BLOCK, BLOCK_KEY, clusters_of, components, sorted_groups
 
 SHINGLE = 5
 PERMUTATIONS, BANDS, ROWS, BITS = 256, 32, 4, 1024
 LEAST_PERCENT, LEAST_ESTIMATE = 75, 0.62
-PIVOTS, BLOCK, SLICE = 3, 2048, 128
-# The estimate is at least LEAST_ESTIMATE if at most so many bits differ.
-MOST_FLIPS = int(BITS / 2 * (1 - np.exp((LEAST_ESTIMATE - 1) * 4 * PERMUTATIONS / BITS)))
-
 _seeds = np.random.default_rng(20240229)
 FACTORS = _seeds.integers(0, 1 << 32, PERMUTATIONS, np.uint32) | np.uint32(1)
 SHIFTS = _seeds.integers(0, 1 << 32, PERMUTATIONS, np.uint32)
@@ -132,13 +137,19 @@ def _full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     pa.array(offsets, pa.int32()), pa.array(np.concatenate(sets).view(np.int64))
                 )
                 keys = pa.array([class_key(s) for s in sets], pa.binary())
-                yield pa.RecordBatch.from_arrays([keys, grams], names=["class", "grams"])
+                yield pa.RecordBatch.from_arrays([keys, grams], names=["key", "grams"])
+
+
+def most_flips(least_estimate: float) -> int:
+    """How many bits may differ for the estimate to be at least ``least_estimate``."""
+    if least_estimate <= 0:
+        return BITS
+    return int(BITS / 2 * (1 - np.exp((least_estimate - 1) * 4 * PERMUTATIONS / BITS)))
 
 
-def flips(a: Column, b: Column) -> Column:
-    """Bits that differ between two odd sketches."""
-    apart = F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y)))
-    return F.aggregate(apart, F.lit(0), lambda n, x: n + x)
+def linked(both, one, two):
+    """Whether sets of ``one`` and ``two`` shingles link if they share ``both``."""
+    return 100 * both >= LEAST_PERCENT * (one + two - both)
 
 
 def _rows(docs: DataFrame) -> DataFrame:
@@ -148,233 +159,186 @@ def _rows(docs: DataFrame) -> DataFrame:
 
 
 def _sets_of(wanted: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
-    """(class, grams) of the classes in ``wanted``, made anew from the texts."""
-    ids = classes.join(wanted, "class").select("min_id").distinct()
+    """(key, grams) of the classes in ``wanted``, made anew from one text of each."""
+    ids = classes.join(wanted.select("class"), "class", "left_semi").select("min_id").distinct()
     texts = _rows(docs).join(ids, F.col("doc_id").eqNullSafe(F.col("min_id")), "left_semi")
-    return texts.mapInArrow(_full_sets, "class binary, grams array<bigint>")
-
-
-def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, best: bool) -> DataFrame:
-    """Of ``pairs`` (a, b) the linked ones: sketch first, then the full sets.
-
-    With ``best`` each class brings forward only its likeliest pair; a pair that is
-    left out comes up again if its classes stay apart.
-    """
-    sketch = classes.select(F.col("class").alias("a"), F.col("sketch").alias("_x"))
-    other = classes.select(F.col("class").alias("b"), F.col("sketch").alias("_y"))
-    likely = (
-        pairs.join(sketch, "a")
-        .join(other, "b")
-        .select("a", "b", flips(F.col("_x"), F.col("_y")).alias("_flips"))
-        .filter(F.col("_flips") <= MOST_FLIPS)
-    )
-    if best:
-        likely = stored(likely, "likely")
-        ranked = F.min(F.struct("_flips", "a", "b")).alias("_best")
-        sides = likely.groupBy("a").agg(ranked).unionByName(
-            likely.groupBy("b").agg(ranked).withColumnRenamed("b", "a")
-        )
-        likely = sides.select("_best.a", "_best.b").distinct()
-    likely = stored(likely.select("a", "b"), "pairs")
-    sides = likely.select(F.col("a").alias("class")).union(likely.select("b"))
-    sets = _sets_of(sides.distinct(), classes, docs)
-    left = sets.select(F.col("class").alias("a"), F.col("grams").alias("_x"))
-    right = sets.select(F.col("class").alias("b"), F.col("grams").alias("_y"))
-    both = F.size(F.array_intersect("_x", "_y"))
-    either = F.size("_x") + F.size("_y") - both
-    met = likely.join(left, "a").join(right, "b")
-    return stored(
-        met.filter(100 * both >= LEAST_PERCENT * either).select("a", "b").distinct(), "links"
-    )
+    # An id that is not unique also brings other texts, or its own several times.
+    sets = texts.mapInArrow(_full_sets, "key binary, grams array<bigint>")
+    return sets.groupBy("key").agg(F.first("grams").alias("grams"))
 
 
-def components(links: DataFrame) -> DataFrame:
-    """(class, component): the smallest class reachable, for every class with a link.
+def _buckets(classes: DataFrame) -> DataFrame:
+    """(bucket, other, class, star, n): the members of buckets of two or more classes.
 
-    Each round takes the smallest label among the neighbours, then the label of
-    that label, which halves long chains. Every round is stored.
+    A bucket is named by 128 bits of its members; ``star`` is its least class.
     """
-    both = stored(
-        links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))),
-        "edges",
-    )
-    labels = stored(
-        both.groupBy(F.col("a").alias("class")).agg(F.min(F.least("a", "b")).alias("component")),
-        "labels",
-    )
-    while True:
-        near = both.join(labels.withColumnRenamed("class", "b"), "b")
-        low = near.groupBy(F.col("a").alias("class")).agg(F.min("component").alias("near"))
-        met = labels.join(low, "class").select(
-            "class", F.col("component").alias("was"), F.least("component", "near").alias("hop")
-        )
-        hop = labels.select(F.col("class").alias("hop"), F.col("component").alias("_far"))
-        following = stored(
-            met.join(hop, "hop", "left").select(
-                "class", F.least("hop", "_far").alias("component"), "was"
-            ),
-            "labels",
-        )
-        changed = following.filter(F.col("component") != F.col("was")).isEmpty()
-        labels = following.select("class", "component")
-        if changed:
-            return labels
-
-
-def _open(placed: DataFrame) -> DataFrame:
-    """Members of the buckets that hold several components, with the bucket's size."""
-    split = (
-        placed.groupBy("bucket")
+    members = classes.select("class", F.explode("bands").alias("band"))
+    crowded = (
+        members.groupBy("band")
         .agg(
-            F.min("component").alias("_low"),
-            F.max("component").alias("_high"),
-            F.count(F.lit(1)).alias("_size"),
+            F.count(F.lit(1)).alias("n"),
+            F.min("class").alias("star"),
+            F.bit_xor(F.xxhash64("class")).alias("bucket"),
+            F.bit_xor(F.xxhash64("class", F.lit(1))).alias("other"),
         )
-        .filter("_low != _high")
+        .filter("n > 1")
     )
-    return placed.join(split.select("bucket", "_size"), "bucket")
-
-
-def _pivot_pairs(placed: DataFrame, k: int) -> DataFrame:
-    """Each member of an open bucket with its pivot, unless they are connected already.
-
-    Another pivot for each bucket and round: a class that shares several buckets
-    with others meets several of them.
+    one = crowded.groupBy("bucket", "other", "n", "star").agg(F.min("band").alias("band"))
+    return members.join(one, "band").select("bucket", "other", "class", "star", "n")
+
+
+def links_of_block(
+    one: np.ndarray,
+    two: np.ndarray,
+    sketch: np.ndarray,
+    grams: list[np.ndarray],
+    component: np.ndarray,
+    flips: int,
+) -> list[tuple[int, int]]:
+    """Links that connect different components among rows ``one`` and ``two`` of a block.
+
+    ``two`` is ``one`` itself for a block on the diagonal. A row is compared with those
+    that are not connected with it by then.
     """
-    rows = stored(_open(placed), "open_buckets")
-    draw = F.struct(F.xxhash64("class", "bucket", F.lit(k)).alias("h"), "class", "component")
-    pivots = rows.groupBy("bucket").agg(F.min(draw).alias("_pivot"))
-    return (
-        rows.join(pivots, "bucket")
-        .filter(F.col("component") != F.col("_pivot.component"))
-        .select(
-            F.least("class", "_pivot.class").alias("a"),
-            F.greatest("class", "_pivot.class").alias("b"),
-        )
+    sizes = np.array([len(g) for g in grams], np.int64)
+    label = np.unique(component, return_inverse=True)[1]
+    found = []
+    for k, x in enumerate(one.tolist()):
+        rest = two[k + 1 :] if two is one else two
+        rest = rest[label[rest] != label[x]]
+        rest = rest[linked(np.minimum(sizes[rest], sizes[x]), sizes[rest], sizes[x])]
+        near = np.bitwise_count(sketch[rest] ^ sketch[x]).sum(axis=1) <= flips
+        for y in rest[near].tolist():
+            if label[x] != label[y]:
+                both = len(np.intersect1d(grams[x], grams[y], assume_unique=True))
+                if linked(both, sizes[x], sizes[y]):
+                    label[label == label[x]] = label[y]
+                    found.append((x, y))
+    return found
+
+
+def _links(flips: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in sorted_groups(batches, BLOCK_KEY):
+            chunk, low, high = (table[c].to_numpy() for c in ("chunk", "low", "high"))
+            one, two = np.flatnonzero(chunk == low[0]), np.flatnonzero(chunk == high[0])
+            sketch = pc.list_flatten(table["sketch"]).to_numpy().view(np.uint64).reshape(len(chunk), -1)
+            ends = np.cumsum(pc.list_value_length(table["grams"]).to_numpy().astype(np.int64))
+            grams = np.split(pc.list_flatten(table["grams"]).to_numpy(), ends[:-1])
+            two = one if low[0] == high[0] else two
+            found = links_of_block(one, two, sketch, grams, table["component"].to_numpy(), flips)
+            pairs = np.sort(table["class"].to_numpy()[np.array(found, np.int64).reshape(-1, 2)], axis=1)
+            columns = [pa.array(pairs[:, k].copy()) for k in (0, 1)]
+            yield pa.RecordBatch.from_arrays(columns, names=["a", "b"])
+
+    return run
+
+
+def _links_in_blocks(members: DataFrame, classes: DataFrame, sets: DataFrame, flips: int) -> DataFrame:
+    """Links between components in groups of ``members``: bucket, other, class, component, blocks."""
+    blocks = F.col("blocks")
+    dealt = members.withColumns(
+        {
+            "chunk": F.pmod(F.xxhash64("class", F.lit(2)), blocks).cast("int"),
+            "second": F.explode(F.sequence(F.lit(0), blocks - 1)),
+        }
     )
-
-
-def _links_in_blocks(table: pa.Table) -> pa.Table:
-    """Links between different components in the blocks of a group of buckets."""
-    names = ("bucket", "low", "high", "chunk", "size")
-    bucket, low, high, chunk, size = (table[c].to_numpy() for c in names)
-    classes = table["class"].to_pylist()
-    component = np.unique(np.array(table["component"].to_pylist(), object), return_inverse=True)[1]
-    sketch = pc.list_flatten(table["sketch"]).to_numpy().view(np.uint64).reshape(len(size), -1)
-    grams = pc.list_flatten(table["grams"]).to_numpy()
-    ends = np.cumsum(pc.list_value_length(table["grams"]).to_numpy().astype(np.int64))
-    order = np.lexsort((high, low, bucket))
-    key = np.stack([bucket[order], low[order], high[order]])
-    cuts = np.flatnonzero((np.diff(key) != 0).any(axis=0)) + 1
-    found = set()
-    for rows in np.split(order, cuts):
-        every = rows[chunk[rows] == low[rows[0]]]
-        two = rows[chunk[rows] == high[rows[0]]]
-        for at in range(0, len(every), SLICE):
-            one = every[at : at + SLICE]
-            apart = component[one][:, None] != component[two][None, :]
-            small = np.minimum(size[one][:, None], size[two][None, :])
-            large = np.maximum(size[one][:, None], size[two][None, :])
-            apart &= 100 * small >= LEAST_PERCENT * large
-            if low[rows[0]] == high[rows[0]]:  # one chunk with itself: each pair once
-                apart &= np.arange(at, at + len(one))[:, None] < np.arange(len(two))
-            i, j = np.nonzero(apart)
-            for k in range(0, len(i), 1 << 14):
-                x, y = one[i[k : k + (1 << 14)]], two[j[k : k + (1 << 14)]]
-                near = np.bitwise_count(sketch[x] ^ sketch[y]).sum(axis=1) <= MOST_FLIPS
-                for a, b in zip(x[near].tolist(), y[near].tolist(), strict=True):
-                    pair = (min(classes[a], classes[b]), max(classes[a], classes[b]))
-                    if pair not in found:
-                        sets = (grams[ends[c] - size[c] : ends[c]] for c in (a, b))
-                        both = len(np.intersect1d(*sets, assume_unique=True))
-                        if 100 * both >= LEAST_PERCENT * (size[a] + size[b] - both):
-                            found.add(pair)
-    a, b = zip(*sorted(found), strict=True) if found else ((), ())
-    return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
-
-
-def _across_blocks(placed: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
-    """Links (a, b) between the components of the buckets still open.
-
-    A bucket is dealt into chunks of about ``BLOCK`` classes, and every two chunks
-    are a block, whatever their bucket's size.
-    """
-    still = stored(_open(placed), "apart")
-    sets = _sets_of(still.select("class").distinct(), classes, docs)
-    known = classes.select("class", "sketch", F.col("n_shingles").alias("size"))
-    rows = still.join(sets.join(known, "class"), "class")
-    rows = rows.withColumn("_chunks", F.ceil(F.col("_size") / BLOCK).cast("int")).withColumn(
-        "chunk", F.pmod(F.xxhash64("class"), F.col("_chunks")).cast("int")
-    )
-    every = F.explode(F.sequence(F.lit(0), F.col("_chunks") - 1)).alias("other")
-    blocks = rows.select("*", every).select(
+    named = dealt.select(
         "bucket",
-        F.least("chunk", "other").alias("low"),
-        F.greatest("chunk", "other").alias("high"),
+        "other",
+        F.least("chunk", "second").alias("low"),
+        F.greatest("chunk", "second").alias("high"),
         "chunk",
-        "size",
         "class",
         "component",
-        "sketch",
-        "grams",
+    ).join(classes.select("class", "key", "sketch"), "class")
+    together = named.join(sets, "key").drop("key")
+    together = together.repartition(*BLOCK_KEY).sortWithinPartitions(*BLOCK_KEY)
+    return together.mapInArrow(_links(flips), "a bigint, b bigint").distinct()
+
+
+def _confirmed(pairs: DataFrame, classes: DataFrame, sets: DataFrame, flips: int) -> DataFrame:
+    """Of ``pairs`` (a, b) the linked ones: by their sketches, then by the full sets."""
+    known = classes.select("class", "sketch")
+    apart = F.zip_with("x", "y", lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    likely = stored(
+        pairs.join(known.toDF("a", "x"), "a")
+        .join(known.toDF("b", "y"), "b")
+        .filter(F.aggregate(apart, F.lit(0), lambda n, x: n + x) <= flips)
+        .select("a", "b"),
+        "likely",
+    )
+    met = likely.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b")
+    both = F.size(F.array_intersect("x", "y"))
+    return stored(met.filter(linked(both, F.size("x"), F.size("y"))).select("a", "b"), "links")
+
+
+def _links_of_buckets(buckets: DataFrame, classes: DataFrame, docs: DataFrame, flips: int) -> DataFrame:
+    """Links of wide clusters: the ties first, then what is left in the buckets."""
+    by_key = stored(_sets_of(buckets.select("class").distinct(), classes, docs), "wide_sets")
+    sets = classes.select("class", "key").join(by_key, "key").select("class", "grams")
+    pairs = buckets.filter("class != star").select(F.col("star").alias("a"), F.col("class").alias("b"))
+    links = _confirmed(pairs.distinct(), classes, sets, flips)
+    placed = buckets.join(components(links), "class", "left").withColumn(
+        "component", F.coalesce("component", "class")
     )
-    n = 4 * int(placed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    task = F.pmod(F.xxhash64("bucket", "low", "high"), F.lit(n)).alias("_task")
-    links = blocks.groupBy(task).applyInArrow(_links_in_blocks, "a binary, b binary")
-    return stored(links.distinct(), "links")
+    open_ = (
+        placed.groupBy("bucket", "other")
+        .agg(F.min("component").alias("_low"), F.max("component").alias("_high"))
+        .filter("_low != _high")
+        .select("bucket", "other")
+    )
+    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    still = placed.filter("n > 2").join(open_, ["bucket", "other"]).withColumn("blocks", blocks)
+    return links.unionByName(_links_in_blocks(still, classes, by_key, flips))
+
+
+def _placed(classes: DataFrame, docs: DataFrame, flips: int) -> DataFrame:
+    """(class, component) of the classes that are linked."""
+    buckets = stored(_buckets(classes), "buckets")
+    tied, sizes = clusters_of(buckets, classes)
+    members = tied.join(sizes.filter("not wide"), "cluster").select(
+        F.col("cluster").alias("bucket"),
+        F.lit(0).cast("bigint").alias("other"),
+        "class",
+        F.col("class").alias("component"),
+        "blocks",
+    )
+    links = stored(_links_in_blocks(members, classes, _sets_of(members, classes, docs), flips), "links")
+    wide = sizes.filter("wide").select("cluster")
+    if not wide.isEmpty():
+        within = stored(tied.join(wide, "cluster").select("class"), "wide")
+        own = stored(buckets.join(within, "class", "left_semi"), "wide_buckets")
+        links = stored(links.unionByName(_links_of_buckets(own, classes, docs, flips)), "links")
+    return components(links)
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
+def near_duplicates(docs: DataFrame, least_estimate: float = LEAST_ESTIMATE) -> DataFrame:
     """Per row of ``docs``: doc_id, n_shingles, class, component, component_id, kept."""
     signed = stored(_rows(docs).mapInArrow(_sign, SIGNED), "signed")
     classes = stored(
         signed.filter(F.col("class").isNotNull())
-        .groupBy("class")
+        .groupBy(F.col("class").alias("key"))
         .agg(
             F.min("doc_id").alias("min_id"),
             F.first("n_shingles").alias("n_shingles"),
             F.first("bands").alias("bands"),
             F.first("sketch").alias("sketch"),
-        ),
+        )
+        .withColumn("class", F.monotonically_increasing_id()),
         "classes",
     )
-    members = classes.select(F.explode("bands").alias("bucket"), "class")
-    shared = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
-    crowded = stored(members.join(shared.select("bucket"), "bucket"), "buckets")
-    links, found = None, None
-    for k in range(PIVOTS + 1):
-        placed = crowded.withColumn("component", F.col("class"))
-        if found is not None:
-            placed = crowded.join(found, "class", "left").select(
-                "bucket", "class", F.coalesce("component", "class").alias("component")
-            )
-        if k == PIVOTS:
-            more = _across_blocks(placed, classes, docs)
-        else:
-            more = _confirmed(_pivot_pairs(placed, k).distinct(), classes, docs, best=k > 0)
-        if more.isEmpty():
-            continue
-        links = more if links is None else stored(links.unionByName(more), "links")
-        found = components(links)
-    if found is None:
-        found = classes.select("class", F.col("class").alias("component"))
-
-    placed = classes.select("class", "min_id").join(found, "class", "left").select(
-        "class", "min_id", F.coalesce("component", "class").alias("component")
+    found = _placed(classes, docs, most_flips(least_estimate))
+    placed = classes.select("class", "key", "min_id").join(found, "class", "left").select(
+        "key", "min_id", F.coalesce("component", "class").alias("component")
     )
     least = placed.groupBy("component").agg(F.min("min_id").alias("component_id"))
+    named = placed.join(least, "component").select(F.col("key").alias("class"), "component", "component_id")
+    own = F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return (
         signed.select("doc_id", "n_shingles", "class")
-        .join(placed.join(least, "component").drop("min_id"), "class", "left")
-        .select(
-            "doc_id",
-            "n_shingles",
-            "class",
-            "component",
-            F.when(F.col("class").isNull(), F.col("doc_id"))
-            .otherwise(F.col("component_id"))
-            .alias("component_id"),
-        )
+        .join(named, "class", "left")
+        .select("doc_id", "n_shingles", "class", "component", own.alias("component_id"))
         .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
     )
 

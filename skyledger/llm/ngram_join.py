@@ -287,7 +287,7 @@ def links_of_block(
     return found
 
 
-def _sorted_groups(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[pa.Table]:
+def sorted_groups(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[pa.Table]:
     """The rows of each group, one group after another, from rows sorted by ``names``."""
     waiting, last = [], None
     for batch in batches:
@@ -315,7 +315,7 @@ def _content(table: pa.Table) -> tuple[np.ndarray, list[np.ndarray]]:
 
 def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Links (a, b) of the blocks."""
-    for table in _sorted_groups(batches, BLOCK_KEY):
+    for table in sorted_groups(batches, BLOCK_KEY):
         chunk, low, high = (table[c].to_numpy() for c in ("chunk", "low", "high"))
         one, two = np.flatnonzero(chunk == low[0]), np.flatnonzero(chunk == high[0])
         if len(one) and len(two):
