@@ -32,7 +32,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-LEAF, LONGEST_RUN = 5, 64  # bytes encoded at once; tokens decoded at once
+LEAF, LONGEST_RUN = 6, 64  # bytes encoded at once; tokens decoded at once
 REMEMBERED = 100_000
 
 

@@ -14,7 +14,7 @@ larger than the shard a second round begins. So nearly all documents are taken
 whole, once or twice, and no document more than twice.
 
 A text without words, or null, has size 0. Rows with equal id, source and text
-stand next to one another as copies of one document.
+stand next to one another as copies of one document. Long texts are counted whole.
 """
 
 from __future__ import annotations
@@ -209,7 +209,8 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
 
     Texts taken whole stay as they are; of the one at the end of a selection the
     words taken are joined by a space. ``n_chars``, where there is one, is counted
-    anew for those.
+    anew for those. Other columns are kept, whatever their names; texts without words are
+    not taken; an empty table gives an empty mix.
     """
     each = F.explode(F.array("first", "second")).alias("_words")
     plan = (
@@ -220,24 +221,24 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
         .groupBy("_id", "_source", "_digest", "size")
         .agg(F.collect_list("_words").alias("_pieces"))
     )  # one row per document: two pieces, or two for each copy of a repeated row
-    text = F.col("text").cast("string")
-    rows = docs.withColumn("_own", F.xxhash64(text))
-    keys = ["_own", *docs.columns]
-    once = rows.groupBy(*keys).agg(F.lit(1).alias("_1")).drop("_1") if _repeats(docs) else rows
-    met = once.join(
+    rows = docs.select(F.struct("*").alias("_row"))  # whatever its columns are called
+    if _repeats(docs):
+        rows = rows.groupBy("_row").agg(F.lit(1).alias("_1")).drop("_1")
+    own = {name: F.col("_row").getField(name) for name in docs.columns}
+    text = own["text"].cast("string")
+    met = rows.join(
         plan,
-        F.col("doc_id").cast("bigint").eqNullSafe(F.col("_id"))
-        & F.col("source").cast("string").eqNullSafe(F.col("_source"))
-        & (F.col("_own") == F.col("_digest")),
-    ).withColumn("_words", F.explode("_pieces"))
+        own["doc_id"].cast("bigint").eqNullSafe(F.col("_id"))
+        & own["source"].cast("string").eqNullSafe(F.col("_source"))
+        & (F.xxhash64(text) == F.col("_digest")),
+    ).select("_row", "size", F.explode("_pieces").alias("_words"))
     part = F.array_join(F.slice(words_of(text), 1, F.col("_words").cast("int")), " ")
     whole = F.col("_words") == F.col("size")
-    columns = {"text": F.when(whole, F.col("text")).otherwise(part)}
-    if "n_chars" in docs.columns:
-        columns["n_chars"] = F.when(whole, F.col("n_chars")).otherwise(
-            F.char_length(part).cast(docs.schema["n_chars"].dataType)
-        )
-    return met.withColumns(columns).select(*docs.columns)
+    own["text"] = F.when(whole, own["text"]).otherwise(part)
+    if "n_chars" in own:
+        count = F.char_length(part).cast(docs.schema["n_chars"].dataType)
+        own["n_chars"] = F.when(whole, own["n_chars"]).otherwise(count)
+    return met.select(*[column.alias(name) for name, column in own.items()])
 
 
 def _repeats(docs: DataFrame) -> bool:

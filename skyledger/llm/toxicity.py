@@ -267,8 +267,14 @@ def train(
 
 
 def with_score(docs: DataFrame, model: Model, column: str = "toxicity") -> DataFrame:
-    """``docs`` with the score of each text, between 0 and 1."""
-    schema = StructType([*docs.schema.fields, StructField(column, DoubleType())])
+    """``docs`` with the score of each text, between 0 and 1, as last column.
+
+    Null and empty texts, and those without a feature, have the model's base score. A column
+    that has the score's name already is replaced. Repeated rows stay; long texts are whole.
+    """
+    others = [f for f in docs.schema if f.name.lower() != column.lower()]
+    schema = StructType([*others, StructField(column, DoubleType())])
+    docs = docs.select(*[F.col(f"`{f.name}`") for f in others])
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -285,6 +291,20 @@ def with_score(docs: DataFrame, model: Model, column: str = "toxicity") -> DataF
     return docs.mapInArrow(score, schema)
 
 
+def without_toxic(docs: DataFrame, model: Model, least: float = 0.5) -> DataFrame:
+    """The rows of ``docs`` that score below ``least``, or that nothing speaks against.
+
+    A text that scores no higher than an empty one is kept: where most labels are toxic, or
+    no feature was found, the base score alone rejects nothing.
+    """
+    name = "_toxicity"
+    while name in map(str.lower, docs.columns):
+        name += "_"
+    none = 1 / (1 + float(np.exp(-np.clip(model.intercept, -500, 500)))) + 1e-12
+    scored = with_score(docs, model, name)
+    return scored.filter((F.col(name) < least) | (F.col(name) <= none)).drop(name)
+
+
 def remainder(column: str, by: int = 5) -> Column:
     """The fold of a row: crc32 of its id as text; null where the id is."""
     return F.crc32(F.col(column).cast("string").cast("binary")) % by
