@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType, StructType
 
@@ -34,11 +34,14 @@ def contract_problems(actual: StructType, expected: StructType) -> list[str]:
     return [f"{kind}: {', '.join(found)}" for kind, found in groups.items() if found]
 
 
-def layer_contracts(rules: RuleSet) -> dict[str, StructType]:
+def layer_contracts(
+    rules: RuleSet, yearly: bool = False, created_at: bool = False
+) -> dict[str, StructType]:
     """The contract of every stored layer under ``rules``.
 
     A flag beyond the standard ones is one more column of silver and daily, and its day
-    count one more of monthly.
+    count one more of monthly and yearly. ``yearly`` adds the yearly table, ``created_at``
+    that column to the risks.
     """
 
     def more(schema: StructType, columns: dict[str, str]) -> StructType:
@@ -50,8 +53,15 @@ def layer_contracts(rules: RuleSet) -> dict[str, StructType]:
 
     flags = dict.fromkeys(rules.flags, "boolean")
     counts = {day_count(flag): "long" for flag in rules.flags}
-    extra = {schemas.SILVER_NAME: flags, schemas.DAILY_NAME: flags, schemas.MONTHLY_NAME: counts}
-    return {name: more(schema, extra.get(name, {})) for name, schema in schemas.TABLES.items()}
+    extra = {
+        schemas.SILVER_NAME: flags,
+        schemas.DAILY_NAME: flags,
+        schemas.MONTHLY_NAME: counts,
+        schemas.YEARLY_NAME: counts,
+        schemas.RISK_NAME: {schemas.CREATED_AT: "timestamp"} if created_at else {},
+    }
+    tables = {**schemas.TABLES, **({schemas.YEARLY_NAME: schemas.YEARLY} if yearly else {})}
+    return {name: more(schema, extra.get(name, {})) for name, schema in tables.items()}
 
 
 def require_contract(df: DataFrame, expected: StructType, name: str) -> DataFrame:
@@ -76,9 +86,22 @@ def _is_missing(df: DataFrame, name: str):
     return value.isNull()
 
 
+def _missing(df: DataFrame, columns: Iterable[str]) -> list:
+    return [F.count_if(_is_missing(df, name)).alias(name) for name in columns]
+
+
 def missing_counts(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     """One row: per column, how many values are null (or NaN, for floats)."""
-    return df.agg(*[F.count_if(_is_missing(df, name)).alias(name) for name in columns])
+    return df.agg(*_missing(df, columns))
+
+
+def missing_observed(df: DataFrame, columns: Iterable[str]) -> tuple[DataFrame, Observation]:
+    """``df`` with the same counts taken by whatever job goes over it.
+
+    Several layers of one plan can be observed so, in a single scan.
+    """
+    observation = Observation()
+    return df.observe(observation, *_missing(df, columns)), observation
 
 
 def require_no_missing(df: DataFrame, columns: Iterable[str]) -> DataFrame:

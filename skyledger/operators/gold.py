@@ -64,7 +64,8 @@ def to_risk(silver: DataFrame, rules: RuleSet = STANDARD) -> DataFrame:
 
 
 def with_created_at(risk: DataFrame) -> DataFrame:
-    return risk.withColumn("created_at", F.current_timestamp())
+    """Risks with the time of the job that writes them, one for all rows."""
+    return risk.withColumn(schemas.CREATED_AT, F.current_timestamp())
 
 
 def by_key(df: DataFrame, key: tuple[str, ...]) -> DataFrame:

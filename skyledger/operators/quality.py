@@ -19,7 +19,7 @@ from skyledger.contracts import require_contract
 from skyledger.operators.gold import SCORE
 
 # Tables whose key the checks cover.
-KEYED = (schemas.DAILY_NAME, schemas.RISK_NAME)
+KEYED = (schemas.DAILY_NAME, schemas.RISK_NAME, schemas.YEARLY_NAME)
 
 RESULT_SCHEMA = "check_id INT, dataset STRING, rule STRING, passed BOOLEAN, detail STRING"
 
@@ -62,7 +62,7 @@ def observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation | None]:
     The counts ride along with the write: no second scan of the stored rows. A retried
     task counts once.
     """
-    if name not in schemas.TABLES or name == schemas.BRONZE_NAME:
+    if name == schemas.BRONZE_NAME:
         return df, None
     observation = Observation()
     return df.observe(observation, *_facts(name)), observation
@@ -148,8 +148,8 @@ def run_checks(
     """Run every check on the tables ``load`` returns by name, each loaded once.
 
     ``measured`` has, by table, what was counted while it was written; only keys are then
-    left to be looked at. ``severity_check`` adds an eleventh, optional check: no
-    negative score.
+    left to be looked at. ``severity_check`` adds an optional check: no negative score.
+    A yearly table among the ``contracts`` is checked like the monthly one, and for its key.
     """
     results: list[Result] = []
 
@@ -194,6 +194,11 @@ def run_checks(
     if severity_check:
         negative = lambda: none(daily.fact("negative"), "negative scores")
         check(daily, "severity not negative", negative)
+    if schemas.YEARLY_NAME in contracts:
+        yearly = table(schemas.YEARLY_NAME, schemas.YEARLY_KEY)
+        check(yearly, "schema", lambda: schema(yearly))
+        check(yearly, "not empty", lambda: not_empty(yearly))
+        check(yearly, "unique key", lambda: none(yearly.repeated(), "repeated keys"))
     return results
 
 

@@ -10,7 +10,7 @@ from skyledger import schemas
 from skyledger.contracts import layer_contracts, require_columns, require_no_missing
 from skyledger.functions.rules import STANDARD, RuleSet
 from skyledger.operators import quality
-from skyledger.operators.gold import to_daily, to_monthly, to_risk
+from skyledger.operators.gold import to_daily, to_monthly, to_risk, to_yearly, with_created_at
 from skyledger.operators.layers import to_bronze, to_silver
 from skyledger.operators.profiles import raw_by_city
 from skyledger.sinks.publish import publish
@@ -43,10 +43,17 @@ def export_raw(documents: DataFrame, cities: DataFrame, path: str) -> DataFrame:
 
 
 def build_layers(
-    raw: DataFrame, wh: Warehouse, on_bad_date: str = "fail", rules: RuleSet = STANDARD
+    raw: DataFrame,
+    wh: Warehouse,
+    on_bad_date: str = "fail",
+    rules: RuleSet = STANDARD,
+    yearly: bool = False,
+    created_at: bool = False,
 ) -> dict[str, DataFrame]:
     """Write bronze, silver and the three gold tables, under the contracts of ``rules``.
 
+    ``yearly`` writes the yearly summary too, ``created_at`` the creation time of risks.
+
     Each layer is read back from its table: lineage ends at every write, and the
     gold tables share one stored silver instead of computing it three times. What the
     quality checks want to know of the rows is counted while they are written, and kept
@@ -54,7 +61,7 @@ def build_layers(
     """
     spark = raw.sparkSession
     create_namespace(spark, wh)
-    contracts, measured = layer_contracts(rules), []
+    contracts, measured = layer_contracts(rules, yearly, created_at), []
 
     def write(df: DataFrame, table: str) -> DataFrame:
         df, observed = quality.observed(df, table)
@@ -66,13 +73,18 @@ def build_layers(
 
     bronze = write(to_bronze(raw), schemas.BRONZE_NAME)
     silver = write(to_silver(bronze, on_bad_date, rules), schemas.SILVER_NAME)
+    risk = to_risk(silver, rules)
     layers = {
         schemas.BRONZE_NAME: bronze,
         schemas.SILVER_NAME: silver,
         schemas.DAILY_NAME: write(to_daily(silver, rules), schemas.DAILY_NAME),
         schemas.MONTHLY_NAME: write(to_monthly(silver, rules), schemas.MONTHLY_NAME),
-        schemas.RISK_NAME: write(to_risk(silver, rules), schemas.RISK_NAME),
+        schemas.RISK_NAME: write(
+            with_created_at(risk) if created_at else risk, schemas.RISK_NAME
+        ),
     }
+    if yearly:
+        layers[schemas.YEARLY_NAME] = write(to_yearly(silver, rules), schemas.YEARLY_NAME)
     facts = spark.createDataFrame(measured, "dataset STRING, version STRING, fact STRING, n BIGINT")
     overwrite_table(facts, wh, MEASURED_NAME)
     return layers
@@ -93,6 +105,8 @@ def check_layers(
     wh: Warehouse,
     rules: RuleSet = STANDARD,
     severity_check: bool = False,
+    yearly: bool = False,
+    created_at: bool = False,
 ) -> quality.Verdict:
     """Run the checks on the stored tables and store results and verdict.
 
@@ -100,11 +114,12 @@ def check_layers(
     job can read it even though this run then fails. With it goes the version of
     each table that was checked.
     """
-    versions = {name: current_version(spark, wh, name) for name in schemas.TABLES}
+    contracts = layer_contracts(rules, yearly, created_at)
+    versions = {name: current_version(spark, wh, name) for name in contracts}
     results = quality.run_checks(
         lambda name: spark.table(versions[name] or wh.name(name)),
         severity_check=severity_check,
-        contracts=layer_contracts(rules),
+        contracts=contracts,
         measured=_measured(spark, wh, versions),
     )
     verdict = quality.judge(results)
@@ -144,11 +159,13 @@ def run(
     publish_tables: Sequence[str] = (schemas.DAILY_NAME,),
     rules: RuleSet = STANDARD,
     severity_check: bool = False,
+    yearly: bool = False,
+    created_at: bool = False,
 ) -> quality.Verdict:
     """Everything, in order. A failed check fails the run and publishes nothing."""
     spark = raw.sparkSession
-    build_layers(raw, wh, on_bad_date, rules)
-    verdict = check_layers(spark, wh, rules, severity_check)
+    build_layers(raw, wh, on_bad_date, rules, yearly, created_at)
+    verdict = check_layers(spark, wh, rules, severity_check, yearly, created_at)
     publish_if_passed(spark, wh, publish_tables)
     quality.require_passed(verdict)
     return verdict

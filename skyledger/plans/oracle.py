@@ -303,6 +303,17 @@ _BAD_FIELDS = {
     "n_fields": "day = '31'",
 }
 
+_YEARLY = """
+    SELECT city, year, half_up(avg(mean_temp_c)) AS avg_mean_temp_c,
+    max(max_temp_c) AS max_temp_c, min(min_temp_c) AS min_temp_c,
+    half_up(sum(precipitation_mm)) AS total_precipitation_mm,
+    CAST(sum(CASE WHEN is_rainy_day THEN 1 ELSE 0 END) AS BIGINT) AS rainy_days,
+    CAST(sum(CASE WHEN is_hot_day THEN 1 ELSE 0 END) AS BIGINT) AS hot_days,
+    CAST(sum(CASE WHEN is_freezing_day THEN 1 ELSE 0 END) AS BIGINT) AS freezing_days,
+    half_up(avg(max_wind_speed_kmh)) AS avg_wind_speed_kmh
+    FROM silver GROUP BY city, year
+"""
+
 ORACLE: dict[str, str] = {
     "bronze_audit": _over_layers("SELECT *, 'open_meteo' AS source FROM raw"),
     "silver_clean": _over_layers(f"SELECT {_SILVER_COLUMNS} FROM silver"),
@@ -431,16 +442,9 @@ ORACLE: dict[str, str] = {
         FROM silver WHERE precipitation_mm = 0 AND max_temp_c >= 30"""
     ),
     "risk_created": _over_layers("SELECT *, true AS created_at FROM risk"),
-    "yearly_summary": _over_layers(
-        """SELECT city, year, half_up(avg(mean_temp_c)) AS avg_mean_temp_c,
-        max(max_temp_c) AS max_temp_c, min(min_temp_c) AS min_temp_c,
-        half_up(sum(precipitation_mm)) AS total_precipitation_mm,
-        CAST(sum(CASE WHEN is_rainy_day THEN 1 ELSE 0 END) AS BIGINT) AS rainy_days,
-        CAST(sum(CASE WHEN is_hot_day THEN 1 ELSE 0 END) AS BIGINT) AS hot_days,
-        CAST(sum(CASE WHEN is_freezing_day THEN 1 ELSE 0 END) AS BIGINT) AS freezing_days,
-        half_up(avg(max_wind_speed_kmh)) AS avg_wind_speed_kmh
-        FROM silver GROUP BY city, year"""
-    ),
+    "yearly_summary": _over_layers(_YEARLY),
+    "yearly_table": _over_layers(_YEARLY),
+    "risk_created_table": _over_layers("SELECT *, true AS created_at FROM risk"),
     "monthly_lookup": _over_layers(
         f"""SELECT city, year, month, avg_mean_temp_c AS "avgMeanTempC",
         max_temp_c AS "maxTempC", min_temp_c AS "minTempC",

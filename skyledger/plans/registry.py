@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -202,28 +201,44 @@ def daily_range_meta(spark, sf_dir):
 # --- contracts and quality ---------------------------------------------------
 
 
+def observed_layers(raw: DataFrame) -> tuple[DataFrame, dict]:
+    """Raw to risk as one narrow plan, the missing values of each layer counted on the way.
+
+    Daily rows have all that the risks are told by, so the risks go over them.
+    """
+    counted: dict = {}
+
+    def observed(df: DataFrame, layer: str) -> DataFrame:
+        df, counted[layer] = contracts.missing_observed(df, schemas.LAYERS[layer].names)
+        return df
+
+    bronze = observed(to_bronze(observed(raw, schemas.RAW_NAME)), schemas.BRONZE_NAME)
+    silver = observed(to_silver(bronze), schemas.SILVER_NAME)
+    daily = observed(to_daily(silver), schemas.DAILY_NAME)
+    return observed(to_risk(daily), schemas.RISK_NAME), counted
+
+
 def data_dictionary(spark, sf_dir):
-    """The dictionary, with the rows and missing values each column really has."""
+    """The dictionary, with the missing values each column really has.
+
+    One scan counts those of all layers but monthly, which aggregates.
+    """
     raw = _stored(_raw(spark, sf_dir), "raw")
-    bronze = to_bronze(raw)
-    silver = to_silver(bronze)
-    frames = {
-        schemas.RAW_NAME: raw,
-        schemas.BRONZE_NAME: bronze,
-        schemas.SILVER_NAME: silver,
-        schemas.DAILY_NAME: to_daily(silver),
-        schemas.MONTHLY_NAME: to_monthly(silver),
-        schemas.RISK_NAME: to_risk(silver),
-    }
-    found = []
-    for layer, df in frames.items():
-        names = schemas.LAYERS[layer].names
-        counts = contracts.missing_counts(df, names)
-        found.append(
-            counts.unpivot([], names, "column_name", "missing").withColumn("layer", F.lit(layer))
-        )
+    risk, counted = observed_layers(raw)
+    risk.write.format("noop").mode("overwrite").save()
+    found = [
+        (layer, column, n) for layer, counts in counted.items() for column, n in counts.get.items()
+    ]
+    names = schemas.MONTHLY.names
+    monthly = contracts.missing_counts(to_monthly(to_silver(to_bronze(raw))), names)
+    missing = spark.createDataFrame(found, "layer STRING, column_name STRING, missing BIGINT")
     return contracts.data_dictionary(spark).join(
-        reduce(DataFrame.unionByName, found), ["layer", "column_name"]
+        missing.unionByName(
+            monthly.unpivot([], names, "column_name", "missing").withColumn(
+                "layer", F.lit(schemas.MONTHLY_NAME)
+            )
+        ),
+        ["layer", "column_name"],
     )
 
 
@@ -538,6 +553,22 @@ def yearly_summary(spark, sf_dir):
     return to_yearly(_silver(spark, sf_dir))
 
 
+def yearly_table(spark, sf_dir):
+    """The yearly summary as served after a whole run that stores, checks and publishes it."""
+    wh = _warehouse(spark)
+    run(_raw(spark, sf_dir), wh, yearly=True, publish_tables=(schemas.YEARLY_NAME,))
+    return spark.table(wh.name(schemas.SERVING[schemas.YEARLY_NAME][0])).select(*schemas.YEARLY.names)
+
+
+def risk_created_table(spark, sf_dir):
+    """The risks as served after a run that stores their creation time, reduced to whether
+    it is set."""
+    wh = _warehouse(spark)
+    run(_raw(spark, sf_dir), wh, created_at=True, publish_tables=(schemas.RISK_NAME,))
+    risk = spark.table(wh.name(schemas.SERVING[schemas.RISK_NAME][0]))
+    return risk.select(*schemas.RISK.names, F.col(schemas.CREATED_AT).isNotNull().alias("created_at"))
+
+
 def monthly_lookup(spark, sf_dir):
     return lookups.monthly_of_year(served(spark, sf_dir, schemas.MONTHLY_NAME), CITY, YEAR)
 
@@ -606,6 +637,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         dry_day_risk,
         risk_created,
         yearly_summary,
+        yearly_table,
+        risk_created_table,
         monthly_lookup,
         risks_lookup,
         risks_lookup_type,

@@ -66,6 +66,14 @@ RISK = contract("""
     risk_type string!, risk_level string!,
     metric_value double, description string!
 """)
+YEARLY = contract("""
+    city string, year integer,
+    avg_mean_temp_c double, max_temp_c double, min_temp_c double,
+    total_precipitation_mm double,
+    rainy_days long, hot_days long, freezing_days long,
+    avg_wind_speed_kmh double
+""")
+CREATED_AT = "created_at"  # optional column of RISK
 
 # Table names (fixed values).
 RAW_NAME = "raw_weather_csv"
@@ -74,6 +82,7 @@ SILVER_NAME = "silver_weather_daily_clean"
 DAILY_NAME = "gold_city_daily_weather_metrics"
 MONTHLY_NAME = "gold_city_monthly_weather_summary"
 RISK_NAME = "gold_weather_risk_days"
+YEARLY_NAME = "gold_city_yearly_weather_summary"  # optional, not among TABLES
 
 LAYERS = {
     RAW_NAME: RAW,
@@ -88,13 +97,20 @@ TABLES = {name: schema for name, schema in LAYERS.items() if name != RAW_NAME}
 DAILY_KEY = ("city", "weather_date")
 MONTHLY_KEY = ("city", "year", "month")
 RISK_KEY = ("city", "weather_date", "risk_type")
+YEARLY_KEY = ("city", "year")
 
 # Gold table -> (serving copy, primary key). Names are fixed values.
 SERVING = {
     DAILY_NAME: ("weather_daily_metrics", DAILY_KEY),
     MONTHLY_NAME: ("weather_monthly_summary", MONTHLY_KEY),
     RISK_NAME: ("weather_risk_days", RISK_KEY),
+    YEARLY_NAME: ("weather_yearly_summary", YEARLY_KEY),
 }
 
 # How the serving copies are cut (see ``sinks.publish``): by what lookups name.
-SERVING_LAYOUT = {DAILY_NAME: "month", MONTHLY_NAME: "city", RISK_NAME: "city"}
+SERVING_LAYOUT = {
+    DAILY_NAME: "month",
+    MONTHLY_NAME: "city",
+    RISK_NAME: "city",
+    YEARLY_NAME: "city",
+}
