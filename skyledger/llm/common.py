@@ -189,10 +189,8 @@ def ids_of(column: pa.Array) -> np.ndarray:
     return pc.fill_null(column.cast(pa.int64()), LAST).to_numpy(zero_copy_only=False)
 
 
-def pack(values: np.ndarray, shard: np.ndarray, n_shards: int) -> Iterator[tuple[int, np.ndarray]]:
-    """Positions of ``values`` by shard, for the shards that have any."""
+def pack(shard: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Positions by shard, for the shards that occur."""
     order = np.argsort(shard, kind="stable")
-    cuts = np.searchsorted(shard[order], np.arange(n_shards + 1))
-    for k in range(n_shards):
-        if cuts[k] < cuts[k + 1]:
-            yield k, order[cuts[k] : cuts[k + 1]]
+    names, cuts = np.unique(shard[order], return_index=True)
+    yield from zip(names.tolist(), np.split(order, cuts[1:]), strict=False)

@@ -7,20 +7,22 @@ sequence also starts in a document with a smaller id.
    sequences in it; equal windows have equal anchors. Blocks of documents send
    their distinct anchors, packed as binary, to hash shards, which answer each
    block with those that another block has too.
-2. *Confirmed windows.* Windows with a recurring anchor go the same way with the
-   smallest document that has them; each block learns the first document of its
-   recurring windows. This confirms every recurring passage.
-3. *Automata.* Per block the confirmed passages (runs of windows that start in an
-   earlier document) are compiled to an Aho-Corasick automaton over word numbers,
-   and all documents of the block stream through it to locate every occurrence.
-
-An automaton of all passages would have to read the whole corpus once per shard,
-work that grows with the square of the input. Here a shard is a block of
-documents with the passages that occur in it, so each document is read once and
-an automaton is never larger than its block.
-
-A passage in a third of all documents is one entry per block and shard. Windows
-are told apart by 64-bit hashes within a hash shard.
+2. *Fragments.* Neighbouring windows of one recurring anchor are a fragment (at most
+   ``2 * window - anchor`` words, unless the text repeats itself). Each block sends its
+   distinct fragments, as words, with the first document that has them, to the shard
+   of their anchor. So all places where a passage may occur stream through one shard.
+3. *Automata.* Each shard confirms the windows that several documents have, word by
+   word, compiles them to one Aho-Corasick automaton over word numbers, and streams
+   all its fragments through it. Every occurrence it locates goes back to the block,
+   with the first document of the passage; the block removes what comes later.
+
+Hashes only find where to look; what recurs is decided on words. Only the answers
+name fragments by 128-bit digests. A document goes to the shards that concern it and
+to no others, so work grows with the input: an automaton of all passages would
+have to read the whole corpus once per shard.
+
+A passage in a third of all documents is one fragment per block and shard, or a
+few that differ in the words around it.
 
 Texts that are null or without words keep nothing and give an empty text. Equal
 ids (also several missing ones, which come after all others) are not smaller
@@ -29,6 +31,8 @@ than one another. Rows are kept as they are, repeated ones included.
 
 from __future__ import annotations
 
+from hashlib import blake2b
+
 import ahocorasick
 import numpy as np
 import pyarrow as pa
@@ -36,6 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skyledger.llm.common import (
+    LAST,
     Words,
     chunked_words,
     ids_of,
@@ -45,9 +50,13 @@ from skyledger.llm.common import (
 )
 
 BLOCK_BYTES = 4 << 20
-SHARD_BYTES = 8 << 20
-SENT = "shard int, block int, hashes binary, firsts binary, shared binary"
-BACK = "block int, hashes binary, firsts binary"
+SHARD_BYTES = 4 << 20
+SENT = "shard int, block int, hashes binary"
+BACK = "block int, hashes binary"
+FRAGMENTS = "shard int, block int, hashes binary, firsts binary, shared binary, texts binary"
+LOCATED = "block int, hashes binary, digests binary, sizes binary, firsts binary"
+NOWHERE = LAST  # the first document of a window that no other document has
+DIGEST = 16
 
 
 def _sliding_min(values: np.ndarray, size: int) -> np.ndarray:
@@ -59,15 +68,27 @@ def _sliding_min(values: np.ndarray, size: int) -> np.ndarray:
     return out
 
 
-def _windows(words: Words, window: int, anchor: int) -> tuple[np.ndarray, ...]:
-    """First word, anchor and hash of each window that lies in one text."""
-    hashes = words.hashes()
+def _fragments(words: Words, window: int, anchor: int) -> tuple[np.ndarray, ...]:
+    """First word, number of windows and anchor of each fragment: neighbouring windows
+    of one text that have one anchor."""
     inside = np.flatnonzero(words.gram_starts(window))
     if not len(inside):
-        none = np.zeros(0, np.uint64)
-        return inside, none, none
-    anchors = _sliding_min(words.grams(hashes, anchor), window - anchor + 1)
-    return inside, anchors[inside], words.grams(hashes, window)[inside]
+        return inside, inside, np.zeros(0, np.uint64)
+    anchors = _sliding_min(words.grams(words.hashes(), anchor), window - anchor + 1)[inside]
+    owner = words.owner()[inside]
+    cut = (np.diff(inside) != 1) | (np.diff(owner) != 0) | (anchors[1:] != anchors[:-1])
+    heads = np.concatenate([[0], np.flatnonzero(cut) + 1])
+    return inside[heads], np.diff(np.append(heads, len(inside))), anchors[heads]
+
+
+def _joined(words: Words) -> tuple[bytes, np.ndarray]:
+    """All words, each followed by one space, and where each of them starts."""
+    sizes = words.ends - words.starts + 1
+    offsets = np.concatenate([[0], np.cumsum(sizes)])
+    at = np.arange(offsets[-1]) + np.repeat(words.starts - offsets[:-1], sizes)
+    joined = np.append(words.data, np.uint8(32))[at]
+    joined[offsets[1:] - 1] = 32
+    return joined.tobytes(), offsets
 
 
 def _shard_of(hashes: np.ndarray, n_shards: int) -> np.ndarray:
@@ -101,11 +122,11 @@ def _send_anchors(window: int, anchor: int, n_shards: int):
         block = table["block"][0].as_py()
         found = [np.zeros(0, np.uint64)]
         for _, _, words in chunked_words(table["text"]):
-            found.append(np.unique(_windows(words, window, anchor)[1]))
+            found.append(np.unique(_fragments(words, window, anchor)[2]))
         distinct = np.unique(np.concatenate(found))
         rows = [
-            (shard, block, distinct[at].tobytes(), None, None)
-            for shard, at in pack(distinct, _shard_of(distinct, n_shards), n_shards)
+            (shard, block, distinct[at].tobytes())
+            for shard, at in pack(_shard_of(distinct, n_shards))
         ]
         return _table(rows, SENT)
 
@@ -125,7 +146,7 @@ def _answer_anchors(table: pa.Table) -> pa.Table:
     order = np.argsort(blocks, kind="stable")
     names, cuts = np.unique(blocks[order], return_index=True)
     rows = [
-        (int(name), part.tobytes(), None)
+        (int(name), part.tobytes())
         for name, part in zip(names, np.split(values[order], cuts[1:]), strict=False)
     ]
     return _table(rows, BACK)
@@ -144,99 +165,145 @@ def _among(values: np.ndarray, ranked: np.ndarray) -> np.ndarray:
     return ranked[at] == values
 
 
-def _send_windows(window: int, anchor: int, n_shards: int):
+def _send_fragments(window: int, anchor: int, n_shards: int):
     def send(key: tuple, docs: pa.Table, known: pa.Table) -> pa.Table:
         if not docs.num_rows:
-            return _table([], SENT)
+            return _table([], FRAGMENTS)
         block = key[0].as_py()
         ids = ids_of(docs["doc_id"])
-        anchors, starts, owners = [], [], []
+        chunks, anchors, owners = [], [], []
         for lo, _, words in chunked_words(docs["text"]):
-            at, anchor_of, hashed = _windows(words, window, anchor)
-            anchors.append(anchor_of)
-            starts.append(hashed)
-            owners.append(ids[lo + words.owner()[at]])
-        anchors, starts, owners = map(np.concatenate, (anchors, starts, owners))
+            firsts, sizes, hashes = _fragments(words, window, anchor)
+            chunks.append((words, firsts, sizes))
+            anchors.append(hashes)
+            owners.append(ids[lo + words.owner()[firsts]])
+        all_anchors, all_owners = np.concatenate(anchors), np.concatenate(owners)
         recurring = np.sort(_gathered(known, "hashes", np.uint64))
-        elsewhere = _among(anchors, recurring)
-        rest = np.flatnonzero(~elsewhere)
-        values, _, shared = _recurring_here(anchors[rest], owners[rest])
-        wanted = elsewhere
-        wanted[rest] = _among(anchors[rest], values[shared])
-        values, firsts, shared = _recurring_here(starts[wanted], owners[wanted])
+        rest = ~_among(all_anchors, recurring)
+        values, _, shared = _recurring_here(all_anchors[rest], all_owners[rest])
+        recurring = np.sort(np.concatenate([recurring, values[shared]]))
+
+        found: dict[bytes, tuple[int, int, bool]] = {}
+        for (words, firsts, sizes), hashes, owner in zip(chunks, anchors, owners, strict=True):
+            at = np.flatnonzero(_among(hashes, recurring))
+            if not len(at):
+                continue
+            joined, offsets = _joined(words)
+            starts = offsets[firsts[at]].tolist()
+            ends = (offsets[firsts[at] + sizes[at] + window - 1] - 1).tolist()
+            for start, end, hashed, doc in zip(
+                starts, ends, hashes[at].tolist(), owner[at].tolist(), strict=True
+            ):
+                text = joined[start:end]
+                before = found.get(text)
+                if before is None:
+                    found[text] = (hashed, doc, False)
+                elif before[1] != doc:
+                    found[text] = (hashed, min(doc, before[1]), True)
+        texts = list(found)
+        hashes = np.array([hashed for hashed, _, _ in found.values()], np.uint64)
+        firsts = np.array([first for _, first, _ in found.values()], np.int64)
+        shared = np.array([several for _, _, several in found.values()], bool)
         rows = [
-            (s, block, values[at].tobytes(), firsts[at].tobytes(), shared[at].tobytes())
-            for s, at in pack(values, _shard_of(values, n_shards), n_shards)
+            (
+                s,
+                block,
+                hashes[at].tobytes(),
+                firsts[at].tobytes(),
+                shared[at].tobytes(),
+                b"\n".join([texts[k] for k in at.tolist()]),
+            )
+            for s, at in pack(_shard_of(hashes, n_shards))
         ]
-        return _table(rows, SENT)
+        return _table(rows, FRAGMENTS)
 
     return send
 
 
-def _answer_windows(table: pa.Table) -> pa.Table:
-    """To each block its windows that start in an earlier document, with that one."""
-    sizes = [len(x.as_py()) // 8 for x in table["hashes"]]
-    blocks = np.repeat(table["block"].to_numpy(), sizes)
-    values = _gathered(table, "hashes", np.uint64)
-    firsts = _gathered(table, "firsts", np.int64)
-    shared = _gathered(table, "shared", bool)
-    order = np.lexsort((firsts, values))
-    values, firsts, shared, blocks = (x[order] for x in (values, firsts, shared, blocks))
-    head = np.concatenate([[True], values[1:] != values[:-1]])[: len(values)]
-    first = firsts[head][np.cumsum(head) - 1] if len(values) else firsts
-    told = shared | (first < firsts)
-    values, first, blocks = values[told], first[told], blocks[told]
-    order = np.argsort(blocks, kind="stable")
-    names, cuts = np.unique(blocks[order], return_index=True)
-    rows = [
-        (int(name), v.tobytes(), f.tobytes())
-        for name, v, f in zip(
-            names, np.split(values[order], cuts[1:]), np.split(first[order], cuts[1:]), strict=False
-        )
-    ]
-    return _table(rows, BACK)
+def confirmed(fragments: list[tuple[tuple, int, bool]], window: int) -> dict[tuple, int]:
+    """Windows of more than one document, with the first one.
 
+    A fragment is its word numbers, the first document that has it, and whether
+    another has it too.
+    """
+    first: dict[tuple, int] = {}
+    several = set()
+    for words, doc, shared in fragments:
+        for k in range(len(words) - window + 1):
+            passage = words[k : k + window]
+            before = first.setdefault(passage, doc)
+            if shared or before != doc:
+                several.add(passage)
+                first[passage] = min(before, doc)
+    return {passage: first[passage] for passage in several}
 
-def compile_passages(passages: dict[tuple, int]) -> ahocorasick.Automaton:
-    """Automaton over word numbers; a passage's value is its length and ``last``.
 
-    ``last`` is the largest first document of the windows in the passage: any
-    later document that has the passage loses it whole.
-    """
+def compile_passages(passages: dict[tuple, int]) -> ahocorasick.Automaton:
+    """Automaton over word numbers; a passage's value is its first document."""
     automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
-    for words, last in passages.items():
-        automaton.add_word(words, (len(words), last))
+    for words, first in passages.items():
+        automaton.add_word(words, first)
     automaton.make_automaton()
     return automaton
 
 
-def located(automaton: ahocorasick.Automaton, words: tuple, doc_id: int) -> np.ndarray:
-    """Mask of the words in an occurrence of a passage confirmed before ``doc_id``."""
-    change = np.zeros(len(words) + 1, np.int64)
-    for end, (length, last) in automaton.iter(words):
-        if last < doc_id:
-            change[end + 1 - length] += 1
-            change[end + 1] -= 1
-    return np.cumsum(change[:-1]) > 0
-
-
-def _confirmed(words: Words, ids: np.ndarray, hashes: np.ndarray, firsts: np.ndarray, window: int):
-    """First word, windows and largest first document of each passage in a chunk."""
-    inside = np.flatnonzero(words.gram_starts(window))
-    starts = words.grams(words.hashes(), window)[inside]
-    at = np.minimum(np.searchsorted(hashes, starts), len(hashes) - 1)
-    hit = hashes[at] == starts
-    hit &= firsts[at] < ids[words.owner()[inside]]
-    inside, last = inside[hit], firsts[at][hit]
-    if not len(inside):
-        return []
-    # A run ends where the next window is not its neighbour or is in another text.
-    owner = words.owner()[inside]
-    cut = np.flatnonzero((np.diff(inside) != 1) | (np.diff(owner) != 0)) + 1
-    heads = np.concatenate([[0], cut])
-    tops = np.maximum.reduceat(last, heads)
-    sizes = np.diff(np.append(heads, len(inside)))
-    return list(zip(inside[heads].tolist(), sizes.tolist(), tops.tolist(), strict=True))
+def located(automaton: ahocorasick.Automaton, words: tuple, window: int) -> np.ndarray:
+    """For each window of ``words``, the first document of the passage found there."""
+    firsts = np.full(len(words) - window + 1, NOWHERE)
+    for end, first in automaton.iter(words):
+        firsts[end + 1 - window] = first
+    return firsts
+
+
+def _locate(window: int):
+    """One shard: confirm, compile, stream its fragments, answer the blocks."""
+
+    def locate(table: pa.Table) -> pa.Table:
+        numbers: dict[bytes, int] = {}
+        merged: dict[bytes, tuple[int, bool]] = {}
+        sent = []
+        for block, hashes, firsts, shared, texts in zip(
+            *(table[n].to_pylist() for n in ("block", "hashes", "firsts", "shared", "texts")),
+            strict=True,
+        ):
+            texts = texts.split(b"\n")
+            firsts, shared = np.frombuffer(firsts, np.int64), np.frombuffer(shared, bool)
+            sent.append((block, np.frombuffer(hashes, np.uint64), texts, firsts, shared))
+            for text, doc, several in zip(texts, firsts.tolist(), shared.tolist(), strict=True):
+                before = merged.get(text)
+                if before is None:
+                    merged[text] = (doc, several)
+                else:
+                    merged[text] = (min(doc, before[0]), several or before[1] or doc != before[0])
+        words = {
+            text: tuple([numbers.setdefault(w, len(numbers)) for w in text.split(b" ")])
+            for text in merged
+        }
+        passages = confirmed([(words[text], *merged[text]) for text in merged], window)
+        if not passages:
+            return _table([], LOCATED)
+        automaton = compile_passages(passages)
+        found = {text: located(automaton, seen, window) for text, seen in words.items()}
+        rows = []
+        for block, hashes, texts, firsts, shared in sent:
+            # A fragment's own documents lose nothing where none of them comes later.
+            least = np.array([found[text].min() for text in texts])
+            at = np.flatnonzero((least < firsts) | (shared & (least < NOWHERE))).tolist()
+            if at:
+                firsts_of = [found[texts[k]] for k in at]
+                digests = [blake2b(texts[k], digest_size=DIGEST).digest() for k in at]
+                rows.append(
+                    (
+                        block,
+                        hashes[at].tobytes(),
+                        b"".join(digests),
+                        np.array([len(f) for f in firsts_of], np.int64).tobytes(),
+                        np.concatenate(firsts_of).tobytes(),
+                    )
+                )
+        return _table(rows, LOCATED)
+
+    return locate
 
 
 def joined_words(words: Words, keep: np.ndarray) -> pa.Array:
@@ -261,47 +328,51 @@ def joined_words(words: Words, keep: np.ndarray) -> pa.Array:
 KEPT = "doc_id bigint, n_words bigint, n_removed bigint, kept_text string"
 
 
-def _remove(window: int):
+def _remove(window: int, anchor: int):
     def remove(key: tuple, docs: pa.Table, known: pa.Table) -> pa.Table:
         ids = ids_of(docs["doc_id"])
-        hashes = _gathered(known, "hashes", np.uint64)
-        firsts = _gathered(known, "firsts", np.int64)
-        order = np.argsort(hashes)
-        hashes, firsts = hashes[order], firsts[order]
-
-        chunks, vocabulary = [], [np.zeros(0, np.uint64)]
-        if len(hashes):
-            for lo, hi, words in chunked_words(docs["text"]):
-                runs = _confirmed(words, ids[lo:hi], hashes, firsts, window)
-                hashed = words.hashes()
-                found = {}
-                for first, size, last in runs:
-                    part = hashed[first : first + size + window - 1]
-                    found[part.tobytes()] = last
-                chunks.append(found)
-                vocabulary += [np.frombuffer(x, np.uint64) for x in found]
-        vocabulary = np.unique(np.concatenate(vocabulary))
-        passages = {
-            tuple((np.searchsorted(vocabulary, np.frombuffer(x, np.uint64)) + 1).tolist()): last
-            for found in chunks
-            for x, last in found.items()
-        }
-        automaton = compile_passages(passages) if passages else None
+        anchors = np.unique(_gathered(known, "hashes", np.uint64))
+        sizes = _gathered(known, "sizes", np.int64)
+        firsts_of = _gathered(known, "firsts", np.int64)
+        begin = np.cumsum(sizes) - sizes
+        digests = b"".join(x.as_py() for x in known["digests"])
+        number = {digests[k * DIGEST : (k + 1) * DIGEST]: k for k in range(len(sizes))}
+        seen: dict[bytes, int] = {}
+
+        def occurrences(words: Words, owner: np.ndarray) -> np.ndarray:
+            """First words of the located windows that an earlier document has."""
+            heads, counts, hashes = _fragments(words, window, anchor)
+            at = np.flatnonzero(_among(hashes, anchors))
+            if not len(at):
+                return at
+            joined, offsets = _joined(words)
+            starts = offsets[heads[at]].tolist()
+            ends = (offsets[heads[at] + counts[at] + window - 1] - 1).tolist()
+            which = np.empty(len(at), np.int64)
+            for k, (start, end) in enumerate(zip(starts, ends, strict=True)):
+                text = joined[start:end]
+                n = seen.get(text)
+                if n is None:
+                    n = number.get(blake2b(text, digest_size=DIGEST).digest(), -1)
+                    seen[text] = n
+                which[k] = n
+            heads, which = heads[at][which >= 0], which[which >= 0]
+            lengths = sizes[which]
+            step = np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+            first = firsts_of[np.repeat(begin[which], lengths) + step]
+            place = np.repeat(heads, lengths) + step
+            return place[first < owner[place]]
 
         texts, n_words, n_removed = [], [], []
         for lo, hi, words in chunked_words(docs["text"]):
-            gone = np.zeros(len(words.starts), bool)
-            if automaton is not None and len(gone):
-                hashed = words.hashes()
-                at = np.minimum(np.searchsorted(vocabulary, hashed), len(vocabulary) - 1)
-                numbers = np.where(vocabulary[at] == hashed, at + 1, 0)
-                for k in range(hi - lo):
-                    a, b = words.first[k], words.first[k + 1]
-                    if b - a >= window:
-                        gone[a:b] = located(automaton, tuple(numbers[a:b].tolist()), ids[lo + k])
+            n, owner = len(words.starts), words.owner()
+            place = occurrences(words, ids[lo + owner]) if len(anchors) else np.zeros(0, np.int64)
+            change = np.bincount(place, minlength=n + 1)
+            change -= np.bincount(place + window, minlength=n + 1)
+            gone = np.cumsum(change[:-1]) > 0
             texts.append(joined_words(words, ~gone).cast(pa.string()))
             n_words.append(words.counts())
-            n_removed.append(np.bincount(words.owner()[gone], minlength=hi - lo))
+            n_removed.append(np.bincount(owner[gone], minlength=hi - lo))
         none = np.zeros(0, np.int64)
         return pa.table(
             {
@@ -328,16 +399,10 @@ def remove_repeated_passages(docs: DataFrame, window: int = 13, anchor: int = 6)
     block = F.pmod(F.xxhash64("doc_id", "text"), F.lit(n_blocks)).cast("int")
     blocks = rows.withColumn("block", block).groupBy("block")
 
-    def answered(sent: DataFrame, answer) -> DataFrame:
-        return sent.groupBy("shard").applyInArrow(answer, BACK)
-
-    anchors = answered(
-        blocks.applyInArrow(_send_anchors(window, anchor, n_shards), SENT), _answer_anchors
-    )
-    windows = answered(
-        blocks.cogroup(anchors.groupBy("block")).applyInArrow(
-            _send_windows(window, anchor, n_shards), SENT
-        ),
-        _answer_windows,
+    sent = blocks.applyInArrow(_send_anchors(window, anchor, n_shards), SENT)
+    anchors = sent.groupBy("shard").applyInArrow(_answer_anchors, BACK)
+    fragments = blocks.cogroup(anchors.groupBy("block")).applyInArrow(
+        _send_fragments(window, anchor, n_shards), FRAGMENTS
     )
-    return blocks.cogroup(windows.groupBy("block")).applyInArrow(_remove(window), KEPT)
+    found = fragments.groupBy("shard").applyInArrow(_locate(window), LOCATED)
+    return blocks.cogroup(found.groupBy("block")).applyInArrow(_remove(window, anchor), KEPT)
