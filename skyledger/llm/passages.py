@@ -32,6 +32,7 @@ than one another. Rows are kept as they are, repeated ones included.
 from __future__ import annotations
 
 from hashlib import blake2b
+from itertools import chain
 
 import ahocorasick
 import numpy as np
@@ -220,38 +221,71 @@ def _send_fragments(window: int, anchor: int, n_shards: int):
     return send
 
 
-def confirmed(fragments: list[tuple[tuple, int, bool]], window: int) -> dict[tuple, int]:
-    """Windows of more than one document, with the first one.
+def _runs(begin: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """``begin[0]``, the next ``sizes[0] - 1`` numbers, ``begin[1]`` and so on."""
+    return np.arange(sizes.sum()) + np.repeat(begin - np.cumsum(sizes) + sizes, sizes)
 
-    A fragment is its word numbers, the first document that has it, and whether
-    another has it too.
+
+def _codes(values: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """Equal values numbered alike, and the distinct values."""
+    coded = values.dictionary_encode()
+    return coded.indices.to_numpy().astype(np.int64), coded.dictionary
+
+
+def _names(numbers: np.ndarray, window: int) -> np.ndarray:
+    """A number for each ``window`` consecutive words, alike for equal ones only.
+
+    Pairs of numbered halves are numbered again, so no hash takes part.
+    """
+    names, width = numbers, 1
+    while width < window:
+        step = min(width, window - width)
+        pairs = names[: len(names) - step] * (names.max() + 1) + names[step:]
+        names, width = _codes(pa.array(pairs))[0], width + step
+    return names
+
+
+def confirmed(
+    numbers: np.ndarray, sizes: np.ndarray, firsts: np.ndarray, shared: np.ndarray, window: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """A place of each window of more than one document, and the first of them.
+
+    ``numbers`` are the words of all fragments, ``sizes`` how many each has, ``firsts``
+    the first document that has it, ``shared`` whether another has it too.
     """
-    first: dict[tuple, int] = {}
-    several = set()
-    for words, doc, shared in fragments:
-        for k in range(len(words) - window + 1):
-            passage = words[k : k + window]
-            before = first.setdefault(passage, doc)
-            if shared or before != doc:
-                several.add(passage)
-                first[passage] = min(before, doc)
-    return {passage: first[passage] for passage in several}
-
-
-def compile_passages(passages: dict[tuple, int]) -> ahocorasick.Automaton:
+    n_windows = sizes - window + 1
+    place = _runs(np.cumsum(sizes) - sizes, n_windows)
+    names = _names(numbers, window)
+    where = np.full(names.max() + 1, -1)
+    low, high = np.full(len(where), LAST), np.full(len(where), np.iinfo(np.int64).min)
+    names, doc = names[place], np.repeat(firsts, n_windows)
+    where[names] = place
+    np.minimum.at(low, names, doc)
+    np.maximum.at(high, names, doc)
+    several = low != high
+    several[names[np.repeat(shared, n_windows)]] = True
+    several &= where >= 0
+    return where[several], low[several]
+
+
+def compile_passages(
+    numbers: np.ndarray, places: np.ndarray, firsts: np.ndarray, window: int
+) -> ahocorasick.Automaton:
     """Automaton over word numbers; a passage's value is its first document."""
     automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
-    for words, first in passages.items():
-        automaton.add_word(words, first)
+    words = numbers.tolist()
+    for place, first in zip(places.tolist(), firsts.tolist(), strict=True):
+        automaton.add_word(tuple(words[place : place + window]), first)
     automaton.make_automaton()
     return automaton
 
 
-def located(automaton: ahocorasick.Automaton, words: tuple, window: int) -> np.ndarray:
-    """For each window of ``words``, the first document of the passage found there."""
-    firsts = np.full(len(words) - window + 1, NOWHERE)
-    for end, first in automaton.iter(words):
-        firsts[end + 1 - window] = first
+def located(automaton: ahocorasick.Automaton, numbers: np.ndarray, window: int) -> np.ndarray:
+    """For each place in a stream of words, the first document of the passage found there."""
+    firsts = np.full(len(numbers), NOWHERE)
+    matches = chain.from_iterable(automaton.iter(tuple(numbers.tolist())))
+    ends, values = np.fromiter(matches, np.int64).reshape(-1, 2).T
+    firsts[ends + 1 - window] = values
     return firsts
 
 
@@ -259,46 +293,60 @@ def _locate(window: int):
     """One shard: confirm, compile, stream its fragments, answer the blocks."""
 
     def locate(table: pa.Table) -> pa.Table:
-        numbers: dict[bytes, int] = {}
-        merged: dict[bytes, tuple[int, bool]] = {}
-        sent = []
-        for block, hashes, firsts, shared, texts in zip(
-            *(table[n].to_pylist() for n in ("block", "hashes", "firsts", "shared", "texts")),
-            strict=True,
-        ):
-            texts = texts.split(b"\n")
-            firsts, shared = np.frombuffer(firsts, np.int64), np.frombuffer(shared, bool)
-            sent.append((block, np.frombuffer(hashes, np.uint64), texts, firsts, shared))
-            for text, doc, several in zip(texts, firsts.tolist(), shared.tolist(), strict=True):
-                before = merged.get(text)
-                if before is None:
-                    merged[text] = (doc, several)
-                else:
-                    merged[text] = (min(doc, before[0]), several or before[1] or doc != before[0])
-        words = {
-            text: tuple([numbers.setdefault(w, len(numbers)) for w in text.split(b" ")])
-            for text in merged
-        }
-        passages = confirmed([(words[text], *merged[text]) for text in merged], window)
-        if not passages:
+        data = b"".join([text + b"\n" for text in table["texts"].to_pylist()])
+        ends = np.flatnonzero(np.frombuffer(data, np.uint8) == 10) + 1
+        sent = _slices(data, np.concatenate([[0], ends]))
+        hashes = _gathered(table, "hashes", np.uint64)
+        docs, many = _gathered(table, "firsts", np.int64), _gathered(table, "shared", bool)
+
+        # Equal fragments of several blocks are streamed once.
+        code, distinct = _codes(sent)
+        first, last = np.full(len(distinct), LAST), np.full(len(distinct), np.iinfo(np.int64).min)
+        np.minimum.at(first, code, docs)
+        np.maximum.at(last, code, docs)
+        shared = first != last
+        shared[code[many]] = True
+
+        # Words with the space or line end after them, which become alike.
+        bounds = np.frombuffer(distinct.buffers()[1], np.int64)[: len(distinct) + 1]
+        text = np.frombuffer(distinct.buffers()[2], np.uint8)[: bounds[-1]]
+        text = np.where(text == 10, np.uint8(32), text)
+        starts = np.concatenate([[0], np.flatnonzero(text == 32) + 1])
+        numbers, _ = _codes(_slices(text.tobytes(), starts))
+        sizes = np.diff(np.searchsorted(starts, bounds))
+        places, lows = confirmed(numbers, sizes, first, shared, window)
+        if not len(places):
             return _table([], LOCATED)
-        automaton = compile_passages(passages)
-        found = {text: located(automaton, seen, window) for text, seen in words.items()}
-        rows = []
-        for block, hashes, texts, firsts, shared in sent:
-            # A fragment's own documents lose nothing where none of them comes later.
-            least = np.array([found[text].min() for text in texts])
-            at = np.flatnonzero((least < firsts) | (shared & (least < NOWHERE))).tolist()
-            if at:
-                firsts_of = [found[texts[k]] for k in at]
-                digests = [blake2b(texts[k], digest_size=DIGEST).digest() for k in at]
+        found = located(compile_passages(numbers, places, lows, window), numbers, window)
+        n_windows, begin = sizes - window + 1, np.cumsum(sizes) - sizes
+        heads = np.cumsum(n_windows) - n_windows
+        found = found[_runs(begin, n_windows)]
+
+        # A fragment's own documents lose nothing where none of them comes later.
+        least = np.minimum.reduceat(found, heads)[code]
+        told = (least < docs) | (many & (least < NOWHERE))
+        wanted = np.unique(code[told])
+        digests = np.frombuffer(
+            b"".join(
+                blake2b(x[:-1], digest_size=DIGEST).digest()
+                for x in distinct.take(pa.array(wanted)).to_pylist()
+            ),
+            f"V{DIGEST}",
+        )
+        rows, lo = [], 0
+        for block, count in zip(table["block"].to_pylist(), table["hashes"], strict=True):
+            hi = lo + len(count.as_py()) // 8
+            at = lo + np.flatnonzero(told[lo:hi])
+            lo = hi
+            if len(at):
+                mine = code[at]
                 rows.append(
                     (
                         block,
                         hashes[at].tobytes(),
-                        b"".join(digests),
-                        np.array([len(f) for f in firsts_of], np.int64).tobytes(),
-                        np.concatenate(firsts_of).tobytes(),
+                        digests[np.searchsorted(wanted, mine)].tobytes(),
+                        n_windows[mine].tobytes(),
+                        found[_runs(heads[mine], n_windows[mine])].tobytes(),
                     )
                 )
         return _table(rows, LOCATED)
@@ -306,6 +354,14 @@ def _locate(window: int):
     return locate
 
 
+def _slices(data: bytes, bounds: np.ndarray) -> pa.Array:
+    """The bytes from each bound to the next."""
+    offsets = pa.py_buffer(bounds.astype(np.int64))
+    return pa.LargeBinaryArray.from_buffers(
+        pa.large_binary(), len(bounds) - 1, [None, offsets, pa.py_buffer(data)]
+    )
+
+
 def joined_words(words: Words, keep: np.ndarray) -> pa.Array:
     """Per text its kept words, joined by one space."""
     data = np.append(words.data, np.uint8(32))
@@ -358,9 +414,8 @@ def _remove(window: int, anchor: int):
                 which[k] = n
             heads, which = heads[at][which >= 0], which[which >= 0]
             lengths = sizes[which]
-            step = np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-            first = firsts_of[np.repeat(begin[which], lengths) + step]
-            place = np.repeat(heads, lengths) + step
+            first = firsts_of[_runs(begin[which], lengths)]
+            place = _runs(heads, lengths)
             return place[first < owner[place]]
 
         texts, n_words, n_removed = [], [], []

@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pyarrow as pa
 import pytest
 
@@ -84,15 +85,19 @@ def test_what_recurs_is_decided_on_words_by_the_automaton(monkeypatch):
     back = passages._locate(13)(sent)
     kept = passages._remove(13, 6)(key, table, back).to_pylist()
     assert sorted((tuple(r.values()) for r in kept), key=repr) == plain(rows, 13)
-    monkeypatch.setattr(passages, "located", lambda a, w, n: passages.np.full(len(w) - n + 1, passages.NOWHERE))
+    monkeypatch.setattr(passages, "located", lambda a, w, n: np.full(len(w), passages.NOWHERE))
     silent = passages._locate(13)(sent)
     assert silent.num_rows == 0  # without what the automaton finds nothing goes
 
 
 def test_confirmed_and_located():
-    fragments = [((1, 2, 3, 4), 7, False), ((2, 3, 4, 5), 3, False), ((8, 9, 8), 5, True)]
-    found = confirmed(fragments, 3)
+    numbers = np.array([1, 2, 3, 4, 2, 3, 4, 5, 8, 9, 8])
+    places, firsts = confirmed(
+        numbers, np.array([4, 4, 3]), np.array([7, 3, 5]), np.array([False, False, True]), 3
+    )
+    found = {tuple(numbers[p : p + 3].tolist()): int(f) for p, f in zip(places, firsts, strict=True)}
     assert found == {(2, 3, 4): 3, (8, 9, 8): 5}
-    automaton = compile_passages(found)
-    assert located(automaton, (1, 2, 3, 4), 3).tolist() == [passages.NOWHERE, 3]
-    assert located(automaton, (8, 9, 8, 9, 8), 3).tolist() == [5, passages.NOWHERE, 5]
+    automaton = compile_passages(numbers, places, firsts, 3)
+    nowhere = passages.NOWHERE
+    assert located(automaton, np.array([1, 2, 3, 4]), 3).tolist() == [nowhere, 3, nowhere, nowhere]
+    assert located(automaton, np.array([8, 9, 8, 9, 8]), 3).tolist() == [5, nowhere, 5, nowhere, nowhere]
