@@ -174,3 +174,44 @@ def test_rows_stored_without_a_time_are_the_oldest(spark, feed, rows):
     assert [r.max_temp_c for r in feed.served().collect()] == [99.0]
     feed.copy(work=feed.work + "_new")
     assert [r.max_temp_c for r in feed.served().collect()] == [29.99]
+
+
+def test_a_batch_costs_what_it_brings(spark, feed, tmp_path, rows, monkeypatch):
+    """Months are not rewritten by every batch, and readers see its rows all the same."""
+    monkeypatch.setattr(continuous, "FEW", 0)
+    merges = []
+    real = continuous.clustered
+    monkeypatch.setattr(continuous, "clustered", lambda *a: merges.append(1) or real(*a))
+    lines = [f"2024-{m:02}-{d:02}" + LINES[0][10:] for m in range(1, 4) for d in range(1, 9)]
+    feed.add(*lines)
+    feed.stamp(1, 0)
+    feed.copy()
+    assert len(merges) == 1
+    now = dict(enumerate(lines))
+    for n in range(12):
+        now[n] = corrected(lines[n], 40.0 + n)
+        feed.add(now[n], corrected(lines[n + 1], 39.0))  # the next one replaces the second
+        feed.stamp(n + 2, n + 1)
+    now[12] = corrected(lines[12], 39.0)
+    feed.copy()
+    assert len(merges) == 1
+    assert rows(feed.served()) == batch_rows(spark, tmp_path, now.values(), rows)
+    march = continuous.read_target(spark, feed.target).filter(f"{continuous.PERIOD} = '2024-03-01'")
+    assert march.count() == 8
+    for again in ("again", "third"):
+        feed.copy(work=str(tmp_path / again), files_per_batch=2)
+        assert rows(feed.served()) == batch_rows(spark, tmp_path, now.values(), rows)
+    assert 1 < len(merges) <= 4  # of 15 batches
+    stored = spark.read.schema(continuous.STORED).parquet(feed.target)
+    assert stored.count() == len(lines)
+
+
+def test_a_run_without_a_date_is_refused(spark, feed):
+    feed.add(LINES[0])
+    feed.copy()
+    undated = continuous.read_target(spark, feed.target).withColumn(
+        "weather_date", F.lit(None).cast("date")
+    )
+    with pytest.raises(Exception, match="rows without weather_date"):
+        continuous.upsert(undated, 7, feed.target, feed.work)
+    assert feed.served().count() == 1
