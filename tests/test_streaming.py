@@ -212,6 +212,6 @@ def test_a_run_without_a_date_is_refused(spark, feed):
     undated = continuous.read_target(spark, feed.target).withColumn(
         "weather_date", F.lit(None).cast("date")
     )
-    with pytest.raises(Exception, match="rows without weather_date"):
+    with pytest.raises(ValueError, match="rows without weather_date"):
         continuous.upsert(undated, 7, feed.target, feed.work)
     assert feed.served().count() == 1
