@@ -1,5 +1,6 @@
 import os
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -215,3 +216,94 @@ def test_a_run_without_a_date_is_refused(spark, feed):
     with pytest.raises(ValueError, match="rows without weather_date"):
         continuous.upsert(undated, 7, feed.target, feed.work)
     assert feed.served().count() == 1
+
+
+def _months_of_rows(feed, months, files):
+    """Files with days of all months each, the later ones correcting every other day."""
+    days = [f"2024-{m:02}-{d:02}" + LINES[0][10:] for m in range(1, months + 1) for d in range(1, 5)]
+    now = dict(enumerate(days))
+    for n in range(files):
+        now |= {k: corrected(days[k], 20.0 + n) for k in now if k % 2 == n % 2}
+        feed.add(*(now.values() if n == 0 else [now[k] for k in now if k % 2 == n % 2]))
+        feed.stamp(n + 1, n)
+    return list(now.values())
+
+
+def test_a_merge_goes_over_few_months_at_a_time(spark, feed, tmp_path, rows, monkeypatch):
+    """No exchange of a merge gets more rows than a slice has, unless one month has more."""
+    monkeypatch.setattr(continuous, "SLICE", 20)
+    settled, placed = [], []
+    latest, clustered = continuous.latest_per_key, continuous.clustered
+    monkeypatch.setattr(
+        continuous, "latest_per_key", lambda df, *a: settled.append(df.count()) or latest(df, *a)
+    )
+    monkeypatch.setattr(
+        continuous, "clustered", lambda df, *a: placed.append(df.count()) or clustered(df, *a)
+    )
+    lines = _months_of_rows(feed, months=7, files=3)
+    feed.copy(files_per_batch=2)
+    assert sum(settled) > 2 * 20 and max(settled) <= 20
+    assert len(placed) > 2 and max(placed) <= 20
+    monkeypatch.undo()
+    assert rows(feed.served()) == batch_rows(spark, tmp_path, lines, rows)
+    assert spark.read.schema(continuous.STORED).parquet(feed.target).count() == len(lines)
+
+
+def test_a_month_with_more_rows_than_a_slice_is_merged_whole(
+    spark, feed, tmp_path, rows, monkeypatch
+):
+    monkeypatch.setattr(continuous, "SLICE", 3)
+    lines = _months_of_rows(feed, months=3, files=4)
+    feed.copy()
+    assert rows(feed.served()) == batch_rows(spark, tmp_path, lines, rows)
+
+
+def test_a_batch_that_died_between_two_slices_is_finished(
+    spark, feed, tmp_path, rows, monkeypatch
+):
+    monkeypatch.setattr(continuous, "SLICE", 8)
+    lines = _months_of_rows(feed, months=6, files=1)
+    real, calls = continuous.clustered, []
+
+    def dies(*args):
+        calls.append(1)
+        if len(calls) == 2:
+            raise OSError("executor host lost")
+        return real(*args)
+
+    monkeypatch.setattr(continuous, "clustered", dies)
+    with pytest.raises(Exception, match="executor host lost"):
+        feed.copy()
+    monkeypatch.setattr(continuous, "clustered", real)
+    stored = spark.read.schema(continuous.STORED).parquet(feed.target)
+    assert 0 < stored.count() < len(lines)
+    feed.copy()
+    assert rows(feed.served()) == batch_rows(spark, tmp_path, lines, rows)
+
+
+def test_only_the_quarantine_stays_beside_the_target(spark, feed, tmp_path, rows):
+    """Stage and arrived rows of a batch go when it is done."""
+    feed.add(*LINES, corrected(LINES[3], "n/a"))
+    raw = stream_raw(spark, str(feed.incoming), 1, on_bad="mark")
+    continuous.start(raw, feed.target, feed.work, available_now=True).awaitTermination()
+    left = {d.name for d in (tmp_path / "work").iterdir() if d.name != "stream"}
+    held = {n for n in left if spark.read.parquet(f"{feed.work}/{n}").count()}
+    assert held == {"quarantine"}
+    assert rows(feed.served()) == batch_rows(spark, tmp_path, LINES, rows)
+
+
+def _shuffles(spark):
+    env = spark._jvm.org.apache.spark.SparkEnv.get()
+    names = env.blockManager().diskBlockManager().getAllBlocks().mkString(" ").split()
+    return {name for name in names if name.startswith("shuffle_")}
+
+
+def test_merges_leave_no_shuffle_files(spark, feed):
+    before = _shuffles(spark)
+    _months_of_rows(feed, months=3, files=3)
+    feed.copy()
+    for _ in range(100):  # files go in the background
+        if not (left := _shuffles(spark) - before):
+            break
+        time.sleep(0.1)
+    assert not left
